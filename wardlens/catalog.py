@@ -1,0 +1,132 @@
+"""Registered queries: each runs a plan over inputs derived from one scale factor's tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wardlens.plans import clinical, gold, reports, silver, situation
+from wardlens.sources import driver_tables
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+class Inputs:
+    """Raw and silver DataFrames of one scale factor, built when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    @cached_property
+    def admissions_raw(self) -> DataFrame:
+        return driver_tables.admissions_raw(self.spark, self.sf_dir)
+
+    @cached_property
+    def admissions(self) -> DataFrame:
+        return silver.admissions(self.admissions_raw)
+
+    @cached_property
+    def beds(self) -> DataFrame:
+        return silver.beds(driver_tables.beds_raw(self.spark, self.sf_dir))
+
+    @cached_property
+    def stays(self) -> DataFrame:
+        return silver.patient_days(driver_tables.stays_wide(self.spark, self.sf_dir))
+
+    @cached_property
+    def occupancy(self) -> DataFrame:
+        return silver.occupancy(self.stays, self.beds, colocate=True)
+
+    @cached_property
+    def diseases(self) -> DataFrame:
+        return clinical.disease_dimension(
+            driver_tables.disease_codes_raw(self.spark, self.sf_dir),
+            driver_tables.disease_chapters_raw(self.spark),
+        )
+
+
+def portable(df: DataFrame) -> DataFrame:
+    """Exact decimals, dates and narrow integers as types every engine prints alike."""
+    columns = []
+    for field in df.schema:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.DecimalType):
+            column = column.cast("double")
+        elif isinstance(field.dataType, T.DateType):
+            column = F.date_format(column, "yyyy-MM-dd")
+        elif isinstance(field.dataType, T.IntegerType):
+            column = column.cast("bigint")
+        columns.append(column.alias(field.name))
+    return df.select(columns)
+
+
+def over(plan: Callable[[Inputs], DataFrame]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return portable(plan(Inputs(spark, sf_dir)))
+
+    return query
+
+
+def _padded_registry(i: Inputs) -> DataFrame:
+    registry = silver.beds(driver_tables.beds_raw(i.spark, i.sf_dir, padded=False))
+    return silver.occupancy(i.stays, registry, colocate=True, padded_keys=True)
+
+
+RELATIONAL: dict[str, Query] = {
+    "d1_slv_internacao": over(lambda i: i.admissions),
+    "d2_slv_cnes_leitos": over(lambda i: i.beds),
+    "d3_slv_sih_diasperm": over(lambda i: i.stays),
+    "d4_slv_ocupacao": over(lambda i: i.occupancy),
+    "d5_gld_ocupacao_mensal": over(lambda i: gold.monthly_occupancy(i.occupancy)),
+    "d6_gld_features_hospital": over(
+        lambda i: gold.hospital_features(i.occupancy, i.admissions, i.beds)
+    ),
+    "d6_features_single_name": over(
+        lambda i: gold.hospital_features(i.occupancy, i.admissions, i.beds, single_name=True)
+    ),
+    "d7_admissions_by_month": over(lambda i: reports.admissions_by_month(i.admissions)),
+    "d8_reconciliation": over(lambda i: reports.reconciliation(i.admissions, i.stays)),
+    "d9_lights_now": over(lambda i: reports.lights_now(i.occupancy)),
+    "d10_top_critical": over(lambda i: reports.top_critical(i.occupancy)),
+    "d11_features_sample": over(
+        lambda i: reports.features_sample(i.occupancy, i.admissions, i.beds)
+    ),
+    "d12_bronze_volume": over(lambda i: reports.bronze_volume(i.admissions_raw)),
+    "d13_dictionary_counts": over(
+        lambda i: reports.dictionary_counts(
+            driver_tables.disease_codes_raw(i.spark, i.sf_dir),
+            driver_tables.disease_chapters_raw(i.spark),
+        )
+    ),
+    "d14_admissions_sample": over(lambda i: reports.admissions_sample(i.admissions)),
+    "d15_admissions_by_complexity": over(
+        lambda i: reports.admissions_by_complexity(i.admissions)
+    ),
+    "d16_beds_sample": over(lambda i: reports.beds_sample(i.beds)),
+    "d17_beds_by_unit_type": over(lambda i: reports.beds_by_unit_type(i.beds)),
+    "d18_patient_days_sample": over(lambda i: reports.patient_days_sample(i.stays)),
+    "d19_patient_days_by_month": over(lambda i: reports.patient_days_by_month(i.stays)),
+    "d20_occupancy_sample": over(lambda i: reports.occupancy_sample(i.occupancy)),
+    "d21_occupancy_by_unit_type": over(lambda i: reports.occupancy_by_unit_type(i.occupancy)),
+    "d22_highest_now": over(lambda i: reports.highest_now(i.occupancy)),
+    "d23_dashboard_kpis": over(lambda i: reports.lights_now(i.occupancy)),
+    "d23_ranking_board": over(lambda i: reports.ranking_board(i.occupancy)),
+    "d23_trend": over(lambda i: reports.trend_feed(i.occupancy)),
+    "d24_dim_cid": over(lambda i: i.diseases),
+    "d25_clinical_profile": over(lambda i: clinical.clinical_profile(i.admissions, i.diseases)),
+    "d27_gap": over(lambda i: situation.registry_gap(i.beds, i.stays)),
+    "d27_without_movement": over(lambda i: situation.without_movement(i.beds, i.stays)),
+    "d27_idle_capacity": over(lambda i: situation.idle_capacity(i.occupancy)),
+    "d27_seasonality": over(lambda i: situation.seasonality(i.occupancy)),
+    "d27_direction": over(lambda i: situation.direction(i.occupancy)),
+    "d27_above_85": over(lambda i: situation.above_limit(i.occupancy)),
+    "j5_padded_registry_key": over(_padded_registry),
+}
+
+CATALOG: dict[str, Query] = {**RELATIONAL}
+top_critical = CATALOG["d10_top_critical"]
