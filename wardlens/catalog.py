@@ -40,7 +40,7 @@ class Inputs:
 
     @cached_property
     def occupancy(self) -> DataFrame:
-        return silver.occupancy(self.stays, self.beds, colocate=True)
+        return silver.occupancy(self.stays, self.beds)
 
     @cached_property
     def diseases(self) -> DataFrame:
@@ -74,7 +74,7 @@ def over(plan: Callable[[Inputs], DataFrame]) -> Query:
 
 def _padded_registry(i: Inputs) -> DataFrame:
     registry = silver.beds(driver_tables.beds_raw(i.spark, i.sf_dir, padded=False))
-    return silver.occupancy(i.stays, registry, colocate=True, padded_keys=True)
+    return silver.occupancy(i.stays, registry, padded_keys=True)
 
 
 RELATIONAL: dict[str, Query] = {

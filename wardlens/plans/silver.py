@@ -81,15 +81,14 @@ def patient_days(wide: DataFrame) -> DataFrame:
     )
 
 
-def occupancy(
-    stays: DataFrame, registry: DataFrame, colocate: bool = False, padded_keys: bool = False
-) -> DataFrame:
+def occupancy(stays: DataFrame, registry: DataFrame, padded_keys: bool = False) -> DataFrame:
     """`slv_ocupacao`: patient days over bed days by hospital and month.
 
-    `colocate` hash-partitions both inputs by hospital alone. That one exchange serves this
-    join and everything later keyed by hospital (trend windows, feature aggregates). Leave it
-    off when the inputs are tables already bucketed by hospital. `padded_keys` pads the
-    registry key as well; off, keys are compared as filed.
+    Neither side gets a broadcast hint: both grow with the number of hospitals. The planner
+    broadcasts a side it knows to be small, else both are hashed on the two keys, which leaves
+    the adaptive skew join free to split a hot hospital-month. Tables bucketed by hospital
+    need no exchange here. `padded_keys` pads the registry key as well; off, keys are compared
+    as filed.
     """
     registry_key = keys.pad_key(F.col("cnes")) if padded_keys else F.col("cnes")
     capacity = registry.select(
@@ -99,9 +98,6 @@ def occupancy(
         "ds_tipo_unidade",
         "leitos_sus",
     )
-    if colocate:
-        stays = stays.repartition("co_cnes")
-        capacity = capacity.repartition("cnes")
     days = keys.days_in_period("competencia")
     joined = stays.join(
         capacity,

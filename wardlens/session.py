@@ -14,8 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A hash partitioning on the hospital alone also serves (hospital, month) joins.
-    "spark.sql.requireAllClusterKeysForDistribution": "false",
+    # Tables bucketed by hospital also serve joins on (hospital, month) without an exchange.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

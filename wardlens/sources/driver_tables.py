@@ -145,32 +145,41 @@ def stays_wide(
     to one row per task and month before the shuffle, and the table is scanned once.
     """
     labels = periods(first, months)
+    key = F.col("chave")
     stays = table(spark, sf_dir, "lineitem").select(
         F.explode(F.array("l_suppkey", F.lit(None).cast("bigint"))).alias("chave"),
         F.date_format("l_shipdate", "yyyyMM").alias("mes"),
         F.col("l_quantity").cast("bigint").alias("dias"),
     )
-    sums = stays.groupBy("chave").pivot("mes", labels).agg(F.sum("dias"))
+    index = F.substring("mes", 1, 4).cast("int") * 12 + F.substring("mes", 5, 2).cast("int")
+    cells = (
+        stays.groupBy("chave", "mes")
+        .agg(F.sum("dias").alias("dias"))
+        .select(
+            "chave",
+            F.concat(F.lit("m_"), "mes").alias("coluna"),
+            # Numeric until after the pivot, which then aggregates in hash maps: -1 is '-'.
+            F.when((key + index) % 23 == 0, F.lit(None))
+            .when((key + index) % 11 == 0, -1)
+            .otherwise(F.col("dias"))
+            .alias("celula"),
+        )
+    )
+    columns = [f"m_{p}" for p in labels]
+    wide = cells.groupBy("chave").pivot("coluna", columns).agg(F.first("celula"))
     names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    key = F.col("chave")
     code = F.lpad(key.cast("string"), 7, "0")
-
-    def cell(period: str) -> Column:
-        month = int(period[:4]) * 12 + int(period[4:])
-        return (
-            F.when(F.col(period).isNull() | ((key + month) % 23 == 0), F.lit(None))
-            .when((key + month) % 11 == 0, "-")
-            .otherwise(F.col(period).cast("string"))
-            .alias(f"m_{period}")
-        )
-
-    total = sum((F.coalesce(F.col(p), F.lit(0)) for p in labels), F.lit(0))
-    return sums.join(names, key == F.col("s_suppkey"), "left").select(
+    total = F.aggregate(
+        F.array(*columns),
+        F.lit(0).cast("bigint"),
+        lambda done, cell: done + F.greatest(cell, F.lit(0)),
+    )
+    return wide.join(names, key == F.col("s_suppkey"), "left").select(
         F.when(key.isNull(), "Total")
         .when(key == 7, code)
         .otherwise(F.concat_ws(" ", code, "s_name"))
         .alias("estab_cidade"),
-        *[cell(p) for p in labels],
+        *[F.expr(f"if({c} < 0, '-', cast({c} as string)) as {c}") for c in columns],
         total.cast("string").alias("total"),
     )
 
