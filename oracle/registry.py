@@ -1,5 +1,7 @@
 """All oracle SQL by query key."""
 
+from oracle.analytics import ANALYTICS
+from oracle.bronze import BRONZE
 from oracle.reports import RELATIONAL
 
-ORACLE: dict[str, str] = {**RELATIONAL}
+ORACLE: dict[str, str] = {**RELATIONAL, **ANALYTICS, **BRONZE}

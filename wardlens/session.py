@@ -28,6 +28,12 @@ def build_session(app: str = "wardlens", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """The settings results and plans rely on, for a session somebody else built."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's checkpoint folder.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 STATUS = "pasta string, arquivo string, linhas bigint, bytes bigint, situacao string, erro string"
@@ -40,10 +40,10 @@ def transcode_files(
             out = f"{target}/{number:03d}/{name}"
             try:
                 source = spark.read.csv(path, sep=sep, header=True, encoding=charset, escape='"')
-                source.write.csv(out, header=True, encoding="UTF-8", escape='"')
-                rows = spark.read.schema(source.schema).csv(out, header=True, escape='"')
-                count = rows.agg(F.count("*")).first()[0]
-                status.append((folder, name, count, size, "OK", None))
+                seen = Observation()
+                rows = source.observe(seen, F.count(F.lit(1)).alias("linhas"))
+                rows.write.csv(out, header=True, encoding="UTF-8", escape='"')
+                status.append((folder, name, seen.get["linhas"], size, "OK", None))
             except Exception as error:  # any failure of one file leaves the others alone
                 status.append((folder, name, None, size, "ERRO", str(error).split("\n")[0][:300]))
     return spark.createDataFrame(status, STATUS)
