@@ -44,6 +44,9 @@ def options(sep: str, charset: str, header: bool) -> dict[str, str]:
         "escape": '"',
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": RAW,
+        # The reader notices surplus fields only when it parses whole rows; the checks need
+        # every column anyway.
+        "columnPruning": "false",
     }
 
 
