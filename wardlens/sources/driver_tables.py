@@ -49,6 +49,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items on at least as many partitions as there are cores.
+
+    A scan splits by row group, so a file of one group would keep every later step on one
+    core. Inputs with enough splits of their own, any large one, are left alone.
+    """
+    line = table(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    if line.rdd.getNumPartitions() >= cores:
+        return line
+    return line.repartition(cores, "l_orderkey")
+
+
 def _day(value: Column) -> Column:
     return F.date_format(value, "yyyyMMdd")
 
@@ -64,7 +77,7 @@ def _city(hospital: Column) -> Column:
 
 def admissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 used columns of the admissions layout, all text."""
-    line = table(spark, sf_dir, "lineitem")
+    line = line_items(spark, sf_dir)
     order, part, hospital, number = (
         F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     )
