@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from wardlens.sources import tables
+from wardlens.plans import pipeline
+from wardlens.sources import bronze, tables
 from wardlens.sources.delimited import FILE, REASON, SURPLUS, read_delimited
 from wardlens.sources.report import lines_after, read_report
 from wardlens.sources.schemas import (
@@ -135,12 +136,15 @@ def test_reject_limit_fails_without_a_trace(spark, beds_file):
     with pytest.raises(tables.RejectLimitExceeded):
         tables.append_load(load, table, reject_limit=1)
     assert not spark.catalog.tableExists(table)
+    failed = tables.recent_loads(spark, table).first()
+    assert (failed.arquivo, failed.rejeitadas, failed.situacao) == ("beds.csv", 2, "FALHA")
     report = tables.append_load(load, table, reject_limit=2).first()
     assert (report.lidas, report.rejeitadas, report.com_excedente) == (6, 2, 1)
     tables.append_load(load, table, reject_limit=2)
     assert spark.table(table).count() == 8
     tables.reload(load, table, reject_limit=2)
     assert spark.table(table).count() == 4
+    assert [r.situacao for r in tables.recent_loads(spark, table).collect()] == ["OK"] * 3 + ["FALHA"]
 
 
 def test_view_follows_its_table(spark):
@@ -197,3 +201,45 @@ def test_audit_survives_column_pruning(spark, beds_file):
     assert load.rejected.agg(F.count("*")).first()[0] == 2
     assert load.good.count() == 4
     assert load.good.select("cnes").distinct().count() == 4
+
+
+def test_files_to_gold(spark, tmp_path, capsys):
+    """Every source from a file, through the whole build, to the printed reports."""
+    db = tables.scratch_database(spark)
+    months = [f.name[2:] for f in stay_report() if f.name.startswith("m_")]
+    stay_lines = ["t", "s", "p", "Estab;" + ";".join(months) + ";Total"]
+    bed_lines, adm_lines = [";".join(BEDS.fieldNames())], [",".join(ADMISSIONS.fieldNames())]
+    for n in range(1, 13):
+        stay_lines.append(f"{n:07d} HOSP {n};" + ";".join(str(n * 20 + i) for i in range(20)) + ";0")
+        for month in months:
+            fields = dict.fromkeys(BEDS.fieldNames(), "")
+            fields |= {"comp": month, "co_ibge": "355030", "cnes": f"{n:07d}"}
+            fields |= {"nome_estabelecimento": f"HOSP {n}", "ds_tipo_unidade": "GERAL"}
+            fields |= {"leitos_sus": str(n % 5), "uti_total_sus": "1"}
+            bed_lines.append(";".join(fields.values()))
+            fields = dict.fromkeys(ADMISSIONS.fieldNames(), "")
+            fields |= {"cnes": str(n), "ano_cmpt": month[:4], "mes_cmpt": month[4:], "n_aih": str(n)}
+            fields |= {"dias_perm": str(n), "uti_mes_to": "1", "cod_idade": "4", "idade": str(n * 5)}
+            fields |= {"munic_mov": "355030", "diag_princ": "A000", "car_int": "02", "complex": "03"}
+            adm_lines.append(",".join(fields.values()))
+    files = {
+        "stays": write(tmp_path / "stays.csv", stay_lines),
+        "beds": write(tmp_path / "beds.csv", bed_lines),
+        "admissions": write(tmp_path / "RDSP2401.csv", adm_lines, "utf-8"),
+        "codes": write(tmp_path / "sub.csv", ["h", "A000;;;;C\xf3lera;Colera;;"]),
+        "chapters": write(tmp_path / "cap.csv", ["h", "I;A00;B99;Infecciosas;Inf"]),
+    }
+    for source, path in files.items():
+        bronze.load(spark, db, source, path)
+    pipeline.build(spark, db)
+    monthly = spark.table(f"{db}.gld_ocupacao_mensal")
+    assert monthly.count() == 12 * 20
+    # Hospital 1, first month: 20 days over 1 bed and 31 days.
+    first = monthly.where("co_cnes = '0000001' and competencia = '202410'").first()
+    assert (str(first.taxa_ocupacao), first.semaforo) == ("64.5", "OK")
+    assert spark.table(f"{db}.gld_features_hospital").count() == 12
+    assert rows(spark.table(f"{db}.dim_cid")) == [("A000", "Cólera", "I", "Infecciosas")]
+    pipeline.build_clusters(spark, db)
+    assert spark.table(f"{db}.gld_fatores_hospital").count() == 12
+    pipeline.show_reports(spark, db)
+    assert "Top 10 criticos" in capsys.readouterr().out

@@ -6,9 +6,12 @@ they follow silver without being rebuilt.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
 
-from wardlens.plans import clinical, gold, silver
+from pyspark.sql import DataFrame, SparkSession
+
+from wardlens.plans import clinical, cluster, gold, reports, silver, situation
+from wardlens.sources.bronze import TABLES as BRONZE
 from wardlens.sources.tables import (
     define_view,
     materialize,
@@ -16,15 +19,6 @@ from wardlens.sources.tables import (
     materialize_by_month,
 )
 
-BRONZE = {
-    "admissions": "brz_sih_rd_raw",
-    "beds": "brz_cnes_leitos_raw",
-    "stays": "brz_sih_tabnet_raw",
-    "codes": "brz_cid_subcategorias_raw",
-    "chapters": "brz_cid_capitulos_raw",
-}
-
-
 def build_silver(spark: SparkSession, database: str, city: str = silver.CITY) -> None:
     def bronze(name: str):
         return spark.table(f"{database}.{BRONZE[name]}")
@@ -64,3 +58,42 @@ def define_gold(spark: SparkSession, database: str) -> None:
 def build(spark: SparkSession, database: str, city: str = silver.CITY) -> None:
     build_silver(spark, database, city)
     define_gold(spark, database)
+
+
+def build_clusters(spark: SparkSession, database: str) -> None:
+    """`gld_cluster` and `gld_fatores_hospital`, tables written from the feature plan."""
+    features = gold.hospital_features(
+        spark.table(f"{database}.slv_ocupacao"),
+        spark.table(f"{database}.slv_internacao"),
+        spark.table(f"{database}.slv_cnes_leitos"),
+        single_name=True,
+    )
+    scaled = cluster.scaled_features(features)
+    best = cluster.elbow(scaled).best_k()
+    materialize(cluster.assign_clusters(scaled, best), f"{database}.gld_cluster")
+    grouped = features.join(spark.table(f"{database}.gld_cluster"), "co_cnes")
+    materialize(
+        cluster.pressure_factors(grouped, "cluster"), f"{database}.gld_fatores_hospital"
+    )
+
+
+def check_reports(spark: SparkSession, database: str) -> dict[str, Callable[[], DataFrame]]:
+    """The printed checks of a finished build."""
+    internacao, diasperm, leitos, ocupacao = (
+        spark.table(f"{database}.{name}")
+        for name in ("slv_internacao", "slv_sih_diasperm", "slv_cnes_leitos", "slv_ocupacao")
+    )
+    return {
+        "Volume por competencia": lambda: reports.admissions_by_month(internacao),
+        "Prova real entre fontes": lambda: reports.reconciliation(internacao, diasperm),
+        "Semaforo na ultima competencia": lambda: reports.lights_now(ocupacao),
+        "Top 10 criticos": lambda: reports.top_critical(ocupacao),
+        "Amostra de features": lambda: reports.features_sample(ocupacao, internacao, leitos),
+        "Cadastrados e ativos": lambda: situation.registry_gap(leitos, diasperm),
+    }
+
+
+def show_reports(spark: SparkSession, database: str) -> None:
+    for title, report in check_reports(spark, database).items():
+        print(f"=== {title} ===")
+        report().show(100, truncate=False)

@@ -157,42 +157,38 @@ def stays_wide(
     The Total row rides along as a second key of every line item: partial aggregation folds it
     to one row per task and month before the shuffle, and the table is scanned once.
     """
-    labels = periods(first, months)
-    key = F.col("chave")
-    stays = table(spark, sf_dir, "lineitem").select(
+    key, month = F.col("chave"), F.col("mes")
+    stays = line_items(spark, sf_dir).select(
         F.explode(F.array("l_suppkey", F.lit(None).cast("bigint"))).alias("chave"),
-        F.date_format("l_shipdate", "yyyyMM").alias("mes"),
+        (F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("mes"),
         F.col("l_quantity").cast("bigint").alias("dias"),
     )
-    index = F.substring("mes", 1, 4).cast("int") * 12 + F.substring("mes", 5, 2).cast("int")
+    # Numeric until after the pivot, which then aggregates in hash maps: -1 stands for '-'.
+    cell = (
+        F.when((key + month) % 23 == 0, F.lit(None))
+        .when((key + month) % 11 == 0, -1)
+        .otherwise(F.col("dias"))
+    )
     cells = (
         stays.groupBy("chave", "mes")
         .agg(F.sum("dias").alias("dias"))
-        .select(
-            "chave",
-            F.concat(F.lit("m_"), "mes").alias("coluna"),
-            # Numeric until after the pivot, which then aggregates in hash maps: -1 is '-'.
-            F.when((key + index) % 23 == 0, F.lit(None))
-            .when((key + index) % 11 == 0, -1)
-            .otherwise(F.col("dias"))
-            .alias("celula"),
-        )
+        .select("chave", "mes", cell.alias("celula"))
     )
-    columns = [f"m_{p}" for p in labels]
-    wide = cells.groupBy("chave").pivot("coluna", columns).agg(F.first("celula"))
+    labels = {int(p[:4]) * 12 + int(p[4:]): f"m_{p}" for p in periods(first, months)}
+    wide = cells.groupBy("chave").pivot("mes", list(labels)).agg(F.first("celula"))
     names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     code = F.lpad(key.cast("string"), 7, "0")
     total = F.aggregate(
-        F.array(*columns),
+        F.array(*[F.col(str(m)) for m in labels]),
         F.lit(0).cast("bigint"),
-        lambda done, cell: done + F.greatest(cell, F.lit(0)),
+        lambda done, days: done + F.greatest(days, F.lit(0)),
     )
     return wide.join(names, key == F.col("s_suppkey"), "left").select(
         F.when(key.isNull(), "Total")
         .when(key == 7, code)
         .otherwise(F.concat_ws(" ", code, "s_name"))
         .alias("estab_cidade"),
-        *[F.expr(f"if({c} < 0, '-', cast({c} as string)) as {c}") for c in columns],
+        *[F.expr(f"if(`{m}` < 0, '-', cast(`{m}` as string)) as {c}") for m, c in labels.items()],
         total.cast("string").alias("total"),
     )
 

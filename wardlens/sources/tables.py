@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlens.operators.selection import first_rows
 from wardlens.session import shared_path
 from wardlens.sources.delimited import Load
 
@@ -23,23 +24,40 @@ def scratch_database(spark: SparkSession) -> str:
 
 
 def append_load(load: Load, table: str, reject_limit: int = 100) -> DataFrame:
-    """Append the good rows of a load, or fail without a trace; returns the load report.
+    """Append the good rows of a load, or add nothing; returns this load's report.
 
     The checked rows are staged as Parquet first: the text is parsed once, the report reads
-    three staged columns, and a lost executor costs staged blocks, not another parse.
+    three staged columns, and a lost executor costs staged blocks, not another parse. The
+    report is kept, one row per file, in a table next to the loaded one, for failed loads too.
     """
     spark = load.rows.sparkSession
     stage = shared_path(spark, "stage")
     load.rows.write.parquet(stage)
     staged = Load(spark.read.schema(load.rows.schema).parquet(stage), load.schema)
-    audit = staged.audit.withColumns(
-        {"tabela": F.lit(table), "carregado_em": F.current_timestamp()}
-    )
     rejected = staged.rejected.count()
-    if rejected > reject_limit:
+    failed = rejected > reject_limit
+    report = staged.audit.withColumns(
+        {
+            "situacao": F.lit("FALHA" if failed else "OK"),
+            "carga": F.lit(stage.rsplit("-", 1)[-1]),
+            "carregado_em": F.current_timestamp(),
+        }
+    )
+    report.write.mode("append").saveAsTable(reports_table(table))
+    if failed:
         raise RejectLimitExceeded(f"{table}: {rejected} rows rejected, limit {reject_limit}")
     staged.good.write.mode("append").saveAsTable(table)
-    return audit
+    return report
+
+
+def reports_table(table: str) -> str:
+    return f"{table}_cargas"
+
+
+def recent_loads(spark: SparkSession, table: str, n: int = 5) -> DataFrame:
+    """The newest rows of a table's load report."""
+    order = F.desc("carregado_em"), "arquivo", "carga"
+    return first_rows(spark.table(reports_table(table)), n, *order)
 
 
 def reload(load: Load, table: str, reject_limit: int = 100) -> DataFrame:
