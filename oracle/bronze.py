@@ -48,6 +48,7 @@ BRONZE = {
         f"SELECT {ADM_COLUMNS} FROM adm WHERE {LATEST.format('adm')}", "adm"
     ),
     "s13_hospital_layout": RELATIONAL["d23_trend"],
+    "s13_monthly_on_tables": RELATIONAL["d5_gld_ocupacao_mensal"],
     "g1_incremental_ingest": _VOLUME,
     "pipeline_features_view": RELATIONAL["d6_gld_features_hospital"],
 }

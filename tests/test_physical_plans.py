@@ -73,6 +73,12 @@ def test_rank_window_sees_counts_not_rows(spark, silver_tables):
     assert not any("windowspecdefinition(competencia" in w for w in windows)
 
 
+def test_stored_ranks_leave_the_rows_in_place(spark, silver_tables):
+    occupancy = spark.table(f"{silver_tables}.occupancy")
+    text = plan(gold.monthly_occupancy(occupancy, store_ranks=True))
+    assert re.findall(r"\w*Exchange\b", text) == ["BroadcastExchange"]
+
+
 def test_latest_month_prunes_partitions(spark, silver_tables):
     text = plan(at_latest(spark.table(f"{silver_tables}.admissions")))
     assert re.search(r"PartitionFilters: \[.*competencia#\d+ = .*subquery", text)

@@ -6,9 +6,6 @@ loads them back, so its work grows with the tables.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,16 +53,16 @@ def _beds_load(i: Inputs) -> Load:
     return read_delimited(i.spark, _beds_files(i), BEDS)
 
 
-def _with_preamble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    yield pd.DataFrame({"value": PREAMBLE})
-    yield from batches
-
-
 def _report(i: Inputs) -> DataFrame:
     path = shared_path(i.spark, "tabnet")
     cells = [F.coalesce(F.col(c), F.lit("")) for c in i.stays_wide.columns]
-    lines = i.stays_wide.select(F.concat_ws(";", *cells).alias("value"))
-    lines.mapInPandas(_with_preamble, "value string").write.text(path)
+    line = F.concat_ws(";", *cells)
+    # Ids restart in every partition, and a partition becomes a file.
+    starts_file = F.monotonically_increasing_id() % 2**33 == 0
+    preamble = F.array(*[F.lit(p) for p in PREAMBLE], line)
+    i.stays_wide.select(
+        F.explode(F.when(starts_file, preamble).otherwise(F.array(line)))
+    ).write.text(path)
     return silver.patient_days(read_report(i.spark, path, STAYS).good)
 
 
@@ -171,6 +168,12 @@ def _hospital_layout(i: Inputs) -> DataFrame:
     )
 
 
+def _monthly_on_tables(i: Inputs) -> DataFrame:
+    table = f"{tables.scratch_database(i.spark)}.slv_ocupacao"
+    tables.materialize_by_hospital(i.occupancy, table, "co_cnes")
+    return gold.monthly_occupancy(i.spark.table(table), store_ranks=True)
+
+
 def _transcode(i: Inputs) -> DataFrame:
     target = shared_path(i.spark, "utf8")
     status = transcode_files(i.spark, [_beds_files(i)], target)
@@ -230,6 +233,7 @@ BRONZE: dict[str, Query] = {
     "s12_transcode_files": over(_transcode),
     "s13_month_layout": over(_month_layout),
     "s13_hospital_layout": over(_hospital_layout),
+    "s13_monthly_on_tables": over(_monthly_on_tables),
     "g1_incremental_ingest": over(_stream),
     "pipeline_features_view": over(
         lambda i: i.spark.table(f"{_built(i)}.gld_features_hospital")
