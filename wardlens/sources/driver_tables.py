@@ -119,7 +119,7 @@ def beds_raw(
     elsewhere = (key % 4 == 0) | ((key + index) % 17 == 0)
     renamed = (key % 10 == 3) & (F.col("comp") >= "199901")
     hospitals = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    labels = F.array(*[F.lit(p) for p in periods(first, months)])
+    labels = F.split(F.lit(" ".join(periods(first, months))), " ")
     code = key.cast("string")
     icu = (key % 5).cast("int")
     return hospitals.withColumn("comp", F.explode(labels)).select(
@@ -178,18 +178,15 @@ def stays_wide(
     wide = cells.groupBy("chave").pivot("mes", list(labels)).agg(F.first("celula"))
     names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     code = F.lpad(key.cast("string"), 7, "0")
-    total = F.aggregate(
-        F.array(*[F.col(str(m)) for m in labels]),
-        F.lit(0).cast("bigint"),
-        lambda done, days: done + F.greatest(days, F.lit(0)),
-    )
+    months_shown = ", ".join(f"`{m}`" for m in labels)
+    total = f"aggregate(array({months_shown}), 0L, (done, days) -> done + greatest(days, 0L))"
     return wide.join(names, key == F.col("s_suppkey"), "left").select(
         F.when(key.isNull(), "Total")
         .when(key == 7, code)
         .otherwise(F.concat_ws(" ", code, "s_name"))
         .alias("estab_cidade"),
         *[F.expr(f"if(`{m}` < 0, '-', cast(`{m}` as string)) as {c}") for m, c in labels.items()],
-        total.cast("string").alias("total"),
+        F.expr(f"cast({total} as string) as total"),
     )
 
 
