@@ -288,3 +288,12 @@ def test_latest_and_direction(spark):
         "3": None,
     }
     assert [r.co_cnes for r in situation.above_limit(o).collect()] == ["3"]
+
+
+def test_enormous_rates_do_not_overflow(spark, inputs):
+    """One bed and a third of all admissions: squares of the rate pass 64 bits."""
+    o = occupancy(spark, [("1", "202401", 4 * 10**12), ("1", "202402", 2 * 10**12)])
+    f = gold.hospital_features(o, inputs.admissions.limit(0), inputs.beds.limit(0)).first()
+    assert f.taxa_media == D("300000000000.0")
+    assert f.taxa_desvio == D("141421356237.3")
+    assert gold.monthly_occupancy(o).agg(F.max("media_movel_3m")).first()[0] == D("400000000000.0")

@@ -1,7 +1,7 @@
 """Command line: load bronze files, build silver and gold, print the check reports.
 
     python -m wardlens load DATABASE SOURCE PATH [--replace]
-    python -m wardlens build DATABASE [--clusters]
+    python -m wardlens build DATABASE [--clusters] [--buckets N] [--partitions N]
     python -m wardlens report DATABASE
 """
 
@@ -25,6 +25,8 @@ def main() -> None:
     build = steps.add_parser("build")
     build.add_argument("database")
     build.add_argument("--clusters", action="store_true")
+    build.add_argument("--buckets", type=int)
+    build.add_argument("--partitions", type=int)
     report = steps.add_parser("report")
     report.add_argument("database")
     args = parser.parse_args()
@@ -34,7 +36,7 @@ def main() -> None:
         spark.sql(f"create database if not exists {args.database}")
         bronze.load(spark, args.database, args.source, args.path, args.replace).show(truncate=False)
     elif args.step == "build":
-        pipeline.build(spark, args.database)
+        pipeline.build(spark, args.database, buckets=args.buckets, partitions=args.partitions)
         if args.clusters:
             pipeline.build_clusters(spark, args.database)
     else:

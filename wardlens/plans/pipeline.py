@@ -19,7 +19,13 @@ from wardlens.sources.tables import (
     materialize_by_month,
 )
 
-def build_silver(spark: SparkSession, database: str, city: str = silver.CITY) -> None:
+def build_silver(
+    spark: SparkSession,
+    database: str,
+    city: str = silver.CITY,
+    buckets: int | None = None,
+    partitions: int | None = None,
+) -> None:
     def bronze(name: str):
         return spark.table(f"{database}.{BRONZE[name]}")
 
@@ -27,11 +33,17 @@ def build_silver(spark: SparkSession, database: str, city: str = silver.CITY) ->
         return f"{database}.{name}"
 
     materialize_by_month(
-        silver.admissions(bronze("admissions"), city), table("slv_internacao"), "co_cnes", "n_aih"
+        silver.admissions(bronze("admissions"), city),
+        table("slv_internacao"),
+        "co_cnes",
+        "n_aih",
+        partitions=partitions,
+    )
+    materialize_by_hospital(
+        silver.beds(bronze("beds"), city), table("slv_cnes_leitos"), "cnes", buckets=buckets
     )
-    materialize_by_hospital(silver.beds(bronze("beds"), city), table("slv_cnes_leitos"), "cnes")
     materialize_by_hospital(
-        silver.patient_days(bronze("stays")), table("slv_sih_diasperm"), "co_cnes"
+        silver.patient_days(bronze("stays")), table("slv_sih_diasperm"), "co_cnes", buckets=buckets
     )
     materialize_by_hospital(
         silver.occupancy(
@@ -39,6 +51,7 @@ def build_silver(spark: SparkSession, database: str, city: str = silver.CITY) ->
         ),
         table("slv_ocupacao"),
         "co_cnes",
+        buckets=buckets,
     )
     materialize(
         clinical.disease_dimension(bronze("codes"), bronze("chapters")), table("dim_cid")
@@ -55,8 +68,16 @@ def define_gold(spark: SparkSession, database: str) -> None:
     define_view(spark, f"{database}.gld_features_hospital", gold.FEATURES.format(**inputs))
 
 
-def build(spark: SparkSession, database: str, city: str = silver.CITY) -> None:
-    build_silver(spark, database, city)
+def build(
+    spark: SparkSession,
+    database: str,
+    city: str = silver.CITY,
+    buckets: int | None = None,
+    partitions: int | None = None,
+) -> None:
+    """`buckets` of the hospital-month tables and `partitions` of the admissions table default
+    to the session's shuffle partitions."""
+    build_silver(spark, database, city, buckets, partitions)
     define_gold(spark, database)
 
 

@@ -79,7 +79,8 @@ def materialize_by_hospital(
     """Replace a hospital-month table, bucketed by hospital and sorted by month in a bucket.
 
     Joins, windows and aggregates keyed by hospital then read it without an exchange, and a
-    month filter skips row groups. For tables with few rows per hospital and month.
+    month filter skips row groups. For tables with few rows per hospital and month. Buckets
+    default to the session's shuffle partitions; size them to the table (some 100 MB each).
     """
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     writer = df.repartition(n, key).write.mode("overwrite")
@@ -87,14 +88,22 @@ def materialize_by_hospital(
 
 
 def materialize_by_month(
-    df: DataFrame, table: str, key: str, *more: str, period: str = "competencia"
+    df: DataFrame,
+    table: str,
+    key: str,
+    *more: str,
+    period: str = "competencia",
+    partitions: int | None = None,
 ) -> None:
     """Replace a table, partitioned by month and range-clustered by hospital inside it.
 
     Ranges over (month, hospital, more) keep files few and balanced, and split a hot hospital
-    over several of them; min/max statistics serve hospital filters.
+    over several of them; min/max statistics serve hospital filters. Ranges default to the
+    session's shuffle partitions.
     """
-    ranged = df.repartitionByRange(period, key, *more).sortWithinPartitions(period, key, *more)
+    count = [] if partitions is None else [partitions]
+    ranged = df.repartitionByRange(*count, period, key, *more)
+    ranged = ranged.sortWithinPartitions(period, key, *more)
     ranged.write.mode("overwrite").partitionBy(period).saveAsTable(table)
 
 
