@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+from wardlens.llm.exact_dedup import DigestIndex, drop_copies, exact_dedup
+from wardlens.session import shared_path
+
+
+def by_id(df, *cols):
+    return sorted(((r.doc_id, *(r[c] for c in cols)) for r in df.collect()), key=repr)
+
+
+def test_largest_id_stays_and_only_ascii_case_is_folded(make_docs):
+    docs = make_docs([(1, "Ab"), (2, "aB"), (3, "Äb"), (4, "äb"), (5, None), (6, ""), (7, "x" * 300_000)])
+    got = by_id(exact_dedup(docs), "keep_id", "group_size", "kept")
+    assert got == [
+        (1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True), (4, 4, 1, True),
+        (5, 6, 2, False), (6, 6, 2, True), (7, 7, 1, True),
+    ]
+
+
+def test_repeated_rows_and_null_ids_keep_exactly_one(make_docs):
+    docs = make_docs([(1, "a"), (1, "a"), (None, "a"), (None, "b"), (None, "b"), (2, "c")])
+    got = exact_dedup(docs).collect()
+    assert len(got) == 6
+    assert sorted((r.group_size, r.kept) for r in got) == [
+        (1, True), (2, False), (2, True), (3, False), (3, False), (3, True),
+    ]
+    kept = drop_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.text, r.doc_id or 0) for r in kept.collect()) == [("a", 1), ("b", 0), ("c", 2)]
+
+
+def test_later_batches_meet_the_stored_index(spark, make_docs):
+    index = DigestIndex(spark, shared_path(spark, "idx"), buckets=4)
+    try:
+        assert {r.kept for r in index.add(make_docs([(1, "a"), (2, "b")])).collect()} == {True}
+        second = index.add(make_docs([(8, "A"), (9, "c"), (10, "c")]))
+        assert by_id(second, "keep_id", "kept") == [(10, 10, True), (8, 1, False), (9, 10, False)]
+        assert index.table().count() == 3
+        assert index.add(make_docs([])).count() == 0
+    finally:
+        index.drop()
+
+
+def test_the_index_is_not_shuffled(spark, make_docs):
+    index = DigestIndex(spark, shared_path(spark, "idx"), buckets=4)
+    try:
+        index.add(make_docs([(1, "a")]))
+        groups = exact_dedup(make_docs([(2, "b")])).select("digest", "keep_id")
+        plan = index._dealt(groups).join(index.table(), "digest", "left_anti")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text
+        assert "Exchange" not in text.split("FileScan parquet")[-2].split("SortMergeJoin")[0] or "Bucketed: true" in text
+    finally:
+        index.drop()
+
+
+def test_clashing_extra_columns(make_docs):
+    docs = make_docs([(1, "a"), (2, "A")]).withColumnsRenamed({"lang": "digest", "source": "keep_id"})
+    assert [r.doc_id for r in drop_copies(docs).collect()] == [2]
