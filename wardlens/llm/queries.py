@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlens.llm import bpe_automaton, tiling
 from wardlens.llm.exact_dedup import exact_dedup
 from wardlens.llm.simhash import simhash_groups
 from wardlens.llm.staging import table
@@ -31,6 +32,10 @@ WINDOW same AS (PARTITION BY text_sha256)
 """
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), words=4, max_bits=4)
     return groups.select(
@@ -38,9 +43,21 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = bpe_automaton.encode(table(spark, sf_dir, "documents"), decoded=True)
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op10_bpe_automaton": op10_bpe_automaton,
 }
 
 ORACLE: dict[str, str] = {"op1_exact_dedup": OP1_SQL}
