@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm import bpe_automaton, tiling
+from wardlens.llm import backoff_lm, bpe_automaton, tiling
 from wardlens.llm.exact_dedup import exact_dedup
 from wardlens.llm.simhash import simhash_groups
 from wardlens.llm.staging import table
@@ -43,6 +43,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe_automaton.encode(table(spark, sf_dir, "documents"), decoded=True)
     return tokens.select(
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_lm_scoring": op6_lm_scoring,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 
