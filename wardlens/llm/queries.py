@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm import backoff_lm, bpe_automaton, tiling
+from wardlens.llm import backoff_lm, bpe_automaton, repair, tiling
 from wardlens.llm.exact_dedup import exact_dedup
 from wardlens.llm.simhash import simhash_groups
 from wardlens.llm.staging import table
+from wardlens.session import shared_path
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +48,17 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-ids")
+    repair.write_ids(table(spark, sf_dir, "documents"), path)
+    return repair.read_ids(spark, path).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe_automaton.encode(table(spark, sf_dir, "documents"), decoded=True)
     return tokens.select(
@@ -62,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op6_lm_scoring": op6_lm_scoring,
+    "op9_token_id_output": op9_token_id_output,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 
