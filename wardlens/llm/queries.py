@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm import backoff_lm, bpe_automaton, repair, tiling
+from wardlens.llm import backoff_lm, bpe_automaton, licenses, repair, tiling
 from wardlens.llm.exact_dedup import exact_dedup
 from wardlens.llm.simhash import simhash_groups
 from wardlens.llm.staging import table
@@ -48,6 +48,23 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"),
+        F.array_max("base.start").alias("last_word"),
+        joined(F.col("base.label")).alias("base_labels"),
+        joined(F.concat("base.label", "found.label")).alias("labels"),
+        "score",
+    )
+
+
 def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-ids")
     repair.write_ids(table(spark, sf_dir, "documents"), path)
@@ -74,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op6_lm_scoring": op6_lm_scoring,
+    "op8_license_scan": op8_license_scan,
     "op9_token_id_output": op9_token_id_output,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
