@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import html
+import itertools
+import re
+
+import numpy as np
+import pytest
+
+from wardlens.llm.html_model import (
+    EDGE_KINDS,
+    N_FEATURES,
+    Forest,
+    Potentials,
+    extract,
+    extract_text,
+    labelled_by_elements,
+    layouts,
+    parse,
+    train,
+)
+from wardlens.llm.queries import op7_html_extraction
+
+
+@pytest.fixture(scope="module")
+def model():
+    return train(layouts(160))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_marginals_equal_enumeration(seed):
+    rng = np.random.default_rng(seed)
+    pages = [parse(s) for s in ("<div>a<p>b <b>c</b></p></div>", "<ul><li>x<li>y", "", "<nav><a>q</a></nav>t")]
+    model = Potentials(rng.normal(size=N_FEATURES), rng.normal(size=(EDGE_KINDS, 2, 2)))
+    forest = Forest(pages)
+    marginal, pair = model.messages(forest)
+    for page, first in zip(pages, forest.first):
+        n = len(page.parent)
+        total, one, both = 0.0, np.zeros(n), np.zeros((n, 2, 2))
+        for states in itertools.product((0, 1), repeat=n):
+            score = 0.0
+            for v in range(n):
+                score += states[v] * np.append(model.unary, 0)[forest.features[first + v]].sum()
+                if v:
+                    score += model.edge[forest.edge[first + v], states[page.parent[v]], states[v]]
+            weight = np.exp(score)
+            total += weight
+            one += weight * np.array(states)
+            for v in range(1, n):
+                both[v, states[page.parent[v]], states[v]] += weight
+        assert marginal[first : first + n] == pytest.approx(one / total)
+        assert pair[first + 1 : first + n] == pytest.approx(both[1:] / total)
+
+
+def test_training_beats_labels_by_chance_on_unseen_layouts(model):
+    unseen = Forest(layouts(80, seed=99))
+    texts = unseen.edge == 2
+    right = ((model.messages(unseen)[0] > 0.5) == unseen.label)[texts].mean()
+    assert right > 0.95 > unseen.label[texts].mean()
+
+
+def article(source):
+    inner = source[source.index("<article>") + 9 : source.index("</article>")]
+    blocks = (" ".join(html.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner))
+    return "\n".join(b for b in blocks if b)
+
+
+def test_query_gives_the_whole_article_of_every_page(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    got = {r.page_id: r for r in op7_html_extraction(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(pages)
+    for p in pages:
+        r = got[p.page_id]
+        assert (r.url, r.text, r.n_chars) == (p.url, article(p.html), len(article(p.html)))
+
+
+def test_parts_beside_the_article_are_left_out(model):
+    page = """<html><head><title>T</title><style>p{}</style></head><body>
+      <div class="navbar"><ul><li><a href=/>Home</a><li><a href=/x>News</a></ul></div>
+      <div class="cookie-notice"><p>We use cookies. <a href=#>OK</a></p></div>
+      <main><h1>Caf&eacute; &amp; bar</h1><p>First   paragraph,<br>with a <a href="#">link</a> inside of it.
+      <p>Second one &#8212; short.<div class="advert">Buy now cheap things</div><!-- <p>no</p> -->
+      <script>var p = "<p>not text</p>";</script><p>To.</p></main>
+      <div class="comments"><div class="comment"><p>I do not agree at all with this, reader says.</p></div></div>
+      <form><label>Mail</label><input><button>Send</button></form><footer>&copy; 2024 <a href=#>Legal</a></footer></body>"""
+    assert extract([page], model) == [
+        "Café & bar\nFirst paragraph, with a link inside of it.\nSecond one — short.\nTo."
+    ]
+
+
+@pytest.mark.parametrize(
+    "page", [None, "", "   ", "<", "<p", "<p class='x>y", "</div></p>", "<script>", "<!--", "<a" * 2000, "<b>" * 900]
+)
+def test_malformed_pages_do_not_break(model, page):
+    assert all(isinstance(t, str) for t in extract([page, "<article><p>Still here, quite whole.</p></article>"], model))
+    assert extract([page, "<article><p>Still here, quite whole.</p></article>"], model)[1] == "Still here, quite whole."
+
+
+def test_labels_from_elements():
+    page = labelled_by_elements("<body>a<article>b<div class=ad>c</div><aside>d</aside></article></body>")
+    labels = {raw: page.label[node] for node, raw in page.events if node >= 0}
+    assert labels == {"a": 0, "b": 1, "c": 0, "d": 0}
+    assert labelled_by_elements("<div>a</div>") is None
+
+
+def test_edge_cases(spark, model):
+    schema = "page_id long, url string, html string, text string"
+    long = "<article><p>" + "word " * 60_000 + "</p></article>"
+    rows = [(1, None, None, "x"), (None, "u", "<article><p>A page without an id.</p></article>", "x"), (2, "u", long, "x"), (2, "u", long, "x")]
+    got = sorted(((r.page_id, r.text) for r in extract_text(spark.createDataFrame(rows, schema), model=model).collect()), key=repr)
+    assert got == [(1, ""), (2, ("word " * 60_000).strip()), (2, ("word " * 60_000).strip()), (None, "A page without an id.")]
+    assert extract_text(spark.createDataFrame([], schema)).count() == 0

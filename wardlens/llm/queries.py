@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm import backoff_lm, bpe_automaton, licenses, repair, tiling
+from wardlens.llm import backoff_lm, bpe_automaton, html_model, licenses, repair, tiling
 from wardlens.llm.exact_dedup import exact_dedup
 from wardlens.llm.simhash import simhash_groups
 from wardlens.llm.staging import table
@@ -48,6 +48,11 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_model.extract_text(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(labels):
         return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op6_lm_scoring": op6_lm_scoring,
+    "op7_html_extraction": op7_html_extraction,
     "op8_license_scan": op8_license_scan,
     "op9_token_id_output": op9_token_id_output,
     "op10_bpe_automaton": op10_bpe_automaton,
