@@ -25,7 +25,9 @@ learn and are scored each time. Keys are hashes: two n-grams share one with odds
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from wardlens.llm.staging import partitions, ship_package, staged
 
 PRIOR = 20.0
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
 RANGE_TOKENS = 2_000_000
 FOLDS, HELD_OUT = 7, 2
 
@@ -94,20 +96,14 @@ class Block:
         self.learns = np.repeat(held == 0, lengths)
 
     @classmethod
-    def of_texts(cls, texts: list[list[bytes]], held: list[bool]) -> Block:
-        number = {_END: 0}
-        flat: list[int] = []
-        lengths = []
-        for words in texts:
-            flat += [number.setdefault(w, len(number)) for w in words]
-            flat.append(0)
-            lengths.append(len(words) + 1)
+    def of_numbers(cls, number: dict[bytes, int], texts: list[np.ndarray], held: list[bool]) -> Block:
+        """From texts as numbers in order of appearance, each with its end."""
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), np.uint64, len(number))
         order = np.argsort(hashes, kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        ids = rank[np.array(flat, np.int64)] if flat else np.zeros(0, np.uint32)
-        return cls(hashes[order], ids, np.array(lengths, np.int64), np.array(held, np.uint8))
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        return cls(hashes[order], rank[np.concatenate(texts)], lengths, np.array(held, np.uint8))
 
     def grams(self, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """For 1 to `order`: n, distinct sorted keys, each place's key, each place's history, the places.
@@ -142,11 +138,15 @@ def to_blocks(docs: DataFrame, id_col: str, text_col: str, block_tokens: int) ->
         task = TaskContext.get().partitionId() << 24
         made = size = 0
         ids: list[int | None] = []
-        texts: list[list[bytes]] = []
+        texts: list[np.ndarray] = []
+
+        def numbers() -> dict[bytes, int]:
+            out = defaultdict(count().__next__)
+            out[_END]
+            return out
 
         def block() -> pa.RecordBatch:
-            held = [is_held_out(i) for i in ids]
-            b = Block.of_texts(texts, held)
+            b = Block.of_numbers(number, texts, [is_held_out(i) for i in ids])
             rows = {
                 "block": pa.array([task + made], pa.int64()),
                 "n_tokens": pa.array([len(b.ids)], pa.int64()),
@@ -159,15 +159,16 @@ def to_blocks(docs: DataFrame, id_col: str, text_col: str, block_tokens: int) ->
             }
             return pa.record_batch(list(rows.values()), names=list(rows))
 
+        number = numbers()
         for batch in it:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 words = (text.as_py() or b"").lower().split()
                 ids.append(doc_id.as_py())
-                texts.append(words)
+                texts.append(np.fromiter(map(number.__getitem__, chain(words, (_END,))), np.int32, len(words) + 1))
                 size += len(words) + 1
                 if size >= block_tokens:
                     yield block()
-                    made, size, ids, texts = made + 1, 0, [], []
+                    made, size, ids, texts, number = made + 1, 0, [], [], numbers()
         if ids:
             yield block()
 
