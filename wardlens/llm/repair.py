@@ -44,14 +44,14 @@ from wardlens.operators.broadcasting import checked_broadcast
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-SHARD_IDS = 8_000_000
+SHARD_IDS = 2_500_000
 LEAST_USES = 64
 ROUNDS_IN_WORDS = 3
 ROUNDS_ACROSS = 2
 
 HEADER = struct.Struct("<4sIIIQQI")  # mark, base, documents, rules, symbols, tokens, bytes of a symbol
 _MARK = b"RPG1"
-_PIECES_HELD = 600_000
+_PIECES_HELD = 300_000
 SHARDS = "part int, seq int, n_docs long, n_ids long, payload binary"
 
 
