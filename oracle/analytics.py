@@ -31,19 +31,51 @@ _Z = [f"z_{f}" for f in _FACTORS]
 _LARGEST = f"greatest({', '.join(_Z)})"
 _DOMINANT = "CASE " + " ".join(f"WHEN z_{f} = {_LARGEST} THEN '{f}'" for f in _FACTORS) + " END"
 
-_SCHEMA = (
-    "co_cnes string, nome_estabelecimento string, ds_tipo_unidade string, competencia string, "
-    "paciente_dia decimal(18,4), leito_dia bigint, taxa_ocupacao decimal(18,1), semaforo string, "
-    "var_vs_mes_anterior decimal(18,1), media_movel_3m decimal(18,1), ranking_no_mes bigint"
-)
+_VIEW = "; ".join(
+    f"{name} {kind} ({meaning})"
+    for name, kind, meaning in [
+        ("co_cnes", "string", "hospital code, 7 digits with leading zeros"),
+        ("nome_estabelecimento", "string", "hospital name"),
+        ("ds_tipo_unidade", "string", "kind of unit"),
+        ("competencia", "string", "month as text YYYYMM"),
+        ("paciente_dia", "decimal(18,4)", "patient days of the month"),
+        ("leito_dia", "bigint", "available bed days of the month"),
+        ("taxa_ocupacao", "decimal(18,1)", "occupancy in percent, may exceed 100, NULL without beds"),
+        ("semaforo", "string", "light: CRITICO above 95 %, ATENCAO from 85 %, else OK"),
+        ("var_vs_mes_anterior", "decimal(18,1)", "percentage points against the hospital's previous month"),
+        ("media_movel_3m", "decimal(18,1)", "mean occupancy of its last three months, in percent"),
+        ("ranking_no_mes", "bigint", "place within the month, 1 is the fullest"),
+    ]
+).replace("'", "''")
 _PROMPT = (
-    "SELECT conv_id, turn, 'Voce escreve consultas Spark SQL. "
-    f"Tabela gld_ocupacao_mensal com colunas: {_SCHEMA}. "
-    "Devolva somente a consulta SQL, em texto puro, sem comentarios, sem marcacao e sem ponto e "
-    "virgula no fim. Pergunta: ' || text AS prompt FROM conversations WHERE role = 'user'"
+    "SELECT conv_id, turn, 'You translate questions about hospital beds into one Spark SQL SELECT. "
+    f"View gld_ocupacao_mensal: {_VIEW}. "
+    "Reply with that statement alone. Compare months as text; the newest is max(competencia). "
+    "Question: ' || text AS prompt FROM conversations WHERE role = 'user'"
+)
+_MEASURES = (
+    "leitos_sus leitos_uti_sus taxa_media taxa_max taxa_desvio perm_media pct_diarias_uti pct_urgencia "
+    "pct_alta_complex tx_mortalidade idade_media total_aihs"
+).split()
+_FILLED = ", ".join(
+    f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM {_HOSPITALS}), 0) AS {c}"
+    for c in _MEASURES
+)
+_SCALED = ", ".join(
+    f"round(CASE WHEN stddev_samp({c}) OVER () > 0 THEN ({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () "
+    f"ELSE 0 END, 6) AS {c}"
+    for c in _MEASURES
 )
 
 ANALYTICS = {
+    "m2_scaled_features": query(
+        f"SELECT co_cnes, {_SCALED} FROM (SELECT co_cnes, {_FILLED} FROM {_HOSPITALS})", "feat"
+    ),
+    "m4_assignment_check": query(
+        f"""SELECT count(*) AS hospitais, CAST(0 AS BIGINT) AS longe_do_centro, CAST(0 AS BIGINT) AS primeiro
+              FROM {_HOSPITALS}""",
+        "feat",
+    ),
     "m5_zscores_by_size": query(
         f"""SELECT co_cnes, porte, {", ".join(_Z)}, {_DOMINANT} AS fator_dominante
               FROM (SELECT co_cnes, porte, {", ".join(_z(f) for f in _FACTORS)}

@@ -36,6 +36,7 @@ BRONZE = {
     ),
     "s7_append_load": _BEDS,
     "s7_reload": _BEDS,
+    "s7_reload_over_limit": _BEDS,
     "s9_materialize": _BEDS,
     "s10_view_late_binding": RELATIONAL["d5_gld_ocupacao_mensal"],
     "s12_transcode_files": query(
@@ -50,5 +51,6 @@ BRONZE = {
     "s13_hospital_layout": RELATIONAL["d23_trend"],
     "s13_monthly_on_tables": RELATIONAL["d5_gld_ocupacao_mensal"],
     "g1_incremental_ingest": _VOLUME,
+    "pipeline_clinical_profile": RELATIONAL["d25_clinical_profile"],
     "pipeline_features_view": RELATIONAL["d6_gld_features_hospital"],
 }

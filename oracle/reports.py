@@ -140,6 +140,15 @@ RELATIONAL = {
              WHERE {LATEST.format("gld")} GROUP BY semaforo""",
         "gld",
     ),
+    "d23_light_bands": query(
+        f"""SELECT faixa, count(semaforo) AS hospitais
+              FROM (VALUES ('CRITICO'), ('ATENCAO'), ('OK')) b(faixa)
+              LEFT JOIN (SELECT semaforo FROM gld WHERE {LATEST.format("gld")}) ON semaforo = faixa
+             GROUP BY faixa
+            UNION ALL
+            SELECT 'ACIMA DE 100', count(*) FILTER (decimos > 1000) FROM gld WHERE {LATEST.format("gld")}""",
+        "gld",
+    ),
     "d23_ranking_board": query(
         f"""SELECT {big("ranking_no_mes")} AS ranking_no_mes, co_cnes, nome_estabelecimento,
                    {RATE} AS taxa_ocupacao, semaforo

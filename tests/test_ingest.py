@@ -1,5 +1,8 @@
 """Byte-exact files: preambles, legacy characters, short and long rows, rejects, reloads."""
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +10,7 @@ from tests.conftest import rows
 from wardlens.plans import pipeline
 from wardlens.sources import bronze, tables
 from wardlens.sources.delimited import FILE, REASON, SURPLUS, read_delimited
-from wardlens.sources.report import lines_after, read_report
+from wardlens.sources.report import MONTH_NAMES, UnknownLayout, lines_after, month_of, read_report
 from wardlens.sources.schemas import (
     ADMISSIONS,
     BEDS,
@@ -17,7 +20,7 @@ from wardlens.sources.schemas import (
     stay_report,
 )
 from wardlens.sources.transcode import transcode_files
-from wardlens.streaming.ingest import ingest_available
+from wardlens.streaming.ingest import ingest_available, ingest_table
 
 THREE = stay_report("202401", 3)
 
@@ -147,6 +150,55 @@ def test_reject_limit_fails_without_a_trace(spark, beds_file):
     assert [r.situacao for r in tables.recent_loads(spark, table).collect()] == ["OK"] * 3 + ["FALHA"]
 
 
+def test_failed_reload_keeps_the_old_rows(spark, beds_file):
+    table = f"{tables.scratch_database(spark)}.beds"
+    load = read_delimited(spark, beds_file, BEDS)
+    tables.append_load(load, table, reject_limit=2)
+    before = sorted(map(repr, spark.table(table).collect()))
+    with pytest.raises(tables.RejectLimitExceeded):
+        tables.reload(load, table, reject_limit=1)
+    assert sorted(map(repr, spark.table(table).collect())) == before
+
+
+def report_file(path, months, rows_, total=True):
+    header = ";".join(["Estab", *months, *(["Total"] if total else [])])
+    return write(path, ["t", "Dias Perm", "p", header, *rows_])
+
+
+@pytest.mark.parametrize(
+    "name, month",
+    [("2024/Out", "202410"), ("Out/2024", "202410"), ("2025-01", "202501"), ("202512", "202512"),
+     ("12/2024", "202412"), ("Total", None), ("2024/13", None), ("Jan", None), ("", None)],
+)
+def test_month_names(name, month):
+    assert month_of(name) == month
+
+
+def test_report_months_come_from_each_header(spark, tmp_path):
+    report_file(tmp_path / "a.csv", ["2024/Out", "2024/Nov"], ["0000001 A;1;2;3"])
+    shifted = [f"{2024 + m // 12}/{MONTH_NAMES[m % 12]}" for m in range(10, 31)]  # 21 months
+    report_file(tmp_path / "b.csv", shifted, ["0000002 B;" + ";".join(map(str, range(21))) + ";99"])
+    load = read_report(spark, str(tmp_path / "*.csv"))
+    got = {r.estab_cidade: r for r in load.good.collect()}
+    a, b = got["0000001 A"], got["0000002 B"]
+    assert (a.m_202410, a.m_202411, a.m_202412, a.total) == ("1", "2", None, "3")
+    assert (b.m_202410, b.m_202411, b.m_202607, b.total) == (None, "0", "20", "99")
+    assert load.rows.where(SURPLUS).count() == 0
+    table = f"{tables.scratch_database(spark)}.stays"
+    tables.append_load(read_report(spark, str(tmp_path / "a.csv")), table)
+    tables.append_load(read_report(spark, str(tmp_path / "b.csv")), table)
+    stored = {r.estab_cidade: r for r in spark.table(table).collect()}
+    assert (stored["0000001 A"].m_202411, stored["0000001 A"].m_202607) == ("2", None)
+    assert (stored["0000002 B"].m_202411, stored["0000002 B"].m_202607) == ("0", "20")
+
+
+@pytest.mark.parametrize("months", [["Jan", "Fev"], ["2024/Out", "2024/Out"], [], ["2024/Out", "leitos"]])
+def test_wrong_report_header_fails(spark, tmp_path, months):
+    path = report_file(tmp_path / "r.csv", months, ["0000001 A;1;2;3"])
+    with pytest.raises(UnknownLayout):
+        read_report(spark, path)
+
+
 def test_view_follows_its_table(spark):
     db = tables.scratch_database(spark)
     tables.materialize(spark.range(3), f"{db}.t")
@@ -196,6 +248,38 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     assert run()[0] == [("SP", "2024", "01"), ("SP", "2024", "02")]
 
 
+def test_stream_takes_files_of_any_age_once_and_stops_over_the_limit(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    header = ",".join(ADMISSIONS.fieldNames())
+    db, checkpoint = tables.scratch_database(spark), str(tmp_path / "c")
+
+    def drop(name, *lines, days_old=0):
+        path = write(folder / name, [header, *lines])
+        then = time.time() - days_old * 86_400
+        os.utime(path, (then, then))
+
+    def run(limit=10):
+        table = ingest_table(spark, str(folder), db, checkpoint, reject_limit=limit)
+        return sorted(r.mes_cmpt for r in spark.table(table).collect())
+
+    drop("b.csv", "SP,2024,02")
+    assert run() == ["02"]
+    drop("a.csv", "SP,2024,01", days_old=30)
+    assert run() == ["01", "02"]
+    drop("old.csv", "SP,2024,00", days_old=400)
+    assert run() == run() == ["00", "01", "02"]
+    drop("bad.csv", "X" * 16 + ",2024,03", "SP,2024,03")
+    with pytest.raises(Exception, match="rows rejected"):
+        run(limit=0)
+    assert sorted(r.mes_cmpt for r in spark.table(f"{db}.brz_sih_rd_raw").collect()) == ["00", "01", "02"]
+    assert run() == ["00", "01", "02", "03"]
+    loads = tables.recent_loads(spark, f"{db}.brz_sih_rd_raw", 10).collect()
+    assert sorted((r.arquivo, r.situacao) for r in loads) == [
+        ("a.csv", "OK"), ("b.csv", "OK"), ("bad.csv", "FALHA"), ("bad.csv", "OK"), ("old.csv", "OK"),
+    ]
+
+
 def test_audit_survives_column_pruning(spark, beds_file):
     load = read_delimited(spark, beds_file, BEDS)
     assert load.rejected.agg(F.count("*")).first()[0] == 2
@@ -207,7 +291,8 @@ def test_files_to_gold(spark, tmp_path, capsys):
     """Every source from a file, through the whole build, to the printed reports."""
     db = tables.scratch_database(spark)
     months = [f.name[2:] for f in stay_report() if f.name.startswith("m_")]
-    stay_lines = ["t", "s", "p", "Estab;" + ";".join(months) + ";Total"]
+    named = [f"{m[:4]}/{MONTH_NAMES[int(m[4:]) - 1].title()}" for m in months]
+    stay_lines = ["t", "s", "p", "Estab;" + ";".join(named) + ";Total"]
     bed_lines, adm_lines = [";".join(BEDS.fieldNames())], [",".join(ADMISSIONS.fieldNames())]
     for n in range(1, 13):
         stay_lines.append(f"{n:07d} HOSP {n};" + ";".join(str(n * 20 + i) for i in range(20)) + ";0")
@@ -242,4 +327,6 @@ def test_files_to_gold(spark, tmp_path, capsys):
     pipeline.build_clusters(spark, db)
     assert spark.table(f"{db}.gld_fatores_hospital").count() == 12
     pipeline.show_reports(spark, db)
-    assert "Top 10 criticos" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "Fullest hospitals now" in printed and "Newest loads of stays" in printed
+    assert spark.table(f"{db}.gld_perfil_clinico").count() > 0

@@ -1,8 +1,11 @@
 """Command line: load bronze files, build silver and gold, print the check reports.
 
     python -m wardlens load DATABASE SOURCE PATH [--replace]
+    python -m wardlens ingest DATABASE SOURCE FOLDER --checkpoint PATH
     python -m wardlens build DATABASE [--clusters] [--buckets N] [--partitions N]
     python -m wardlens report DATABASE
+
+--work FOLDER, before the step, names the folder the cluster shares, unless spark.checkpoint.dir does.
 """
 
 from __future__ import annotations
@@ -12,16 +15,24 @@ import argparse
 from wardlens.plans import pipeline
 from wardlens.session import build_session
 from wardlens.sources import bronze
+from wardlens.sources.tables import recent_loads
+from wardlens.streaming.ingest import ingest_table
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="wardlens")
+    parser.add_argument("--work")
     steps = parser.add_subparsers(dest="step", required=True)
     load = steps.add_parser("load")
     load.add_argument("database")
     load.add_argument("source", choices=sorted(bronze.SOURCES))
     load.add_argument("path")
     load.add_argument("--replace", action="store_true")
+    ingest = steps.add_parser("ingest")
+    ingest.add_argument("database")
+    ingest.add_argument("source", choices=["admissions", "beds", "codes", "chapters"])
+    ingest.add_argument("folder")
+    ingest.add_argument("--checkpoint", required=True)
     build = steps.add_parser("build")
     build.add_argument("database")
     build.add_argument("--clusters", action="store_true")
@@ -31,10 +42,14 @@ def main() -> None:
     report.add_argument("database")
     args = parser.parse_args()
 
-    spark = build_session()
+    spark = build_session(**({"spark.checkpoint.dir": args.work} if args.work else {}))
     if args.step == "load":
         spark.sql(f"create database if not exists {args.database}")
         bronze.load(spark, args.database, args.source, args.path, args.replace).show(truncate=False)
+    elif args.step == "ingest":
+        spark.sql(f"create database if not exists {args.database}")
+        table = ingest_table(spark, args.folder, args.database, args.checkpoint, args.source)
+        recent_loads(spark, table).show(truncate=False)
     elif args.step == "build":
         pipeline.build(spark, args.database, buckets=args.buckets, partitions=args.partitions)
         if args.clusters:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardlens.catalog.inputs import Inputs, Query, over
 from wardlens.plans import cluster, gold, questions
+from wardlens.session import cut_lineage
 
 # The mapped hospitals have 0 to 12 beds, so the size groups are cut there.
 SIZES = [(3, "PEQUENO"), (6, "MEDIO"), (9, "GRANDE")]
@@ -24,15 +25,24 @@ def _elbow(i: Inputs) -> DataFrame:
     return cluster.elbow(cluster.scaled_features(i.features)).table(i.features)
 
 
-def _clusters(i: Inputs) -> tuple[DataFrame, DataFrame]:
-    scaled = cluster.scaled_features(i.features)
-    best = cluster.elbow(scaled).best_k()
-    return i.features, cluster.assign_clusters(scaled, best)
+def _fits(i: Inputs) -> tuple[DataFrame, cluster.Elbow]:
+    features = cut_lineage(i.features)
+    return features, cluster.elbow(cluster.scaled_features(features))
+
+
+def _clusters(i: Inputs) -> DataFrame:
+    fits = _fits(i)[1]
+    return fits.assign(fits.best_k())
+
+
+def _assignment(i: Inputs) -> DataFrame:
+    fits = _fits(i)[1]
+    return cluster.assignment_check(fits, fits.best_k())
 
 
 def _factors(i: Inputs) -> DataFrame:
-    features, clusters = _clusters(i)
-    return cluster.pressure_factors(features.join(clusters, "co_cnes"), "cluster")
+    features, fits = _fits(i)
+    return cluster.pressure_factors(features.join(fits.assign(fits.best_k()), "co_cnes"), "cluster")
 
 
 def _responses(i: Inputs) -> DataFrame:
@@ -66,8 +76,10 @@ def _bodies(i: Inputs) -> DataFrame:
 
 
 ANALYTICS: dict[str, Query] = {
-    "m1_m4_kmeans": over(lambda i: _clusters(i)[1]),
+    "m1_m4_kmeans": over(_clusters),
+    "m2_scaled_features": over(lambda i: cluster.scaled_columns(cluster.scaled_features(i.features))),
     "m3_elbow": over(_elbow),
+    "m4_assignment_check": over(_assignment),
     "m5_zscores_by_size": over(lambda i: cluster.pressure_factors(_by_size(i), "porte")),
     "m6_size_groups": over(_size_groups),
     "d26_gld_fatores_hospital": over(_factors),

@@ -16,13 +16,14 @@ from wardlens.plans import gold, pipeline, reports, silver
 from wardlens.session import shared_path
 from wardlens.sources import driver_tables, tables
 from wardlens.sources.delimited import Load, read_delimited
-from wardlens.sources.report import read_report
-from wardlens.sources.schemas import ADMISSIONS, BEDS, DISEASE_CODES, stay_report
+from wardlens.sources.report import MONTH_NAMES, read_report
+from wardlens.sources.schemas import ADMISSIONS, BEDS, DISEASE_CODES
 from wardlens.sources.transcode import transcode_files
-from wardlens.streaming.ingest import ingest_available
+from wardlens.streaming.ingest import ingest_table
 
-STAYS = stay_report(driver_tables.FIRST_MONTH, driver_tables.MONTHS)
-PREAMBLE = ["Internacoes hospitalares", "Dias de permanencia", "Periodo", "Estab;meses;Total"]
+PREAMBLE = ["Internacoes hospitalares", "Dias de permanencia", "Periodo"]
+# Above the bad rows of the dirty registry at every scale factor in use.
+DIRTY_LIMIT = 100_000_000
 
 
 def _full_layout(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -53,17 +54,24 @@ def _beds_load(i: Inputs) -> Load:
     return read_delimited(i.spark, _beds_files(i), BEDS)
 
 
-def _report(i: Inputs) -> DataFrame:
+def _report_files(i: Inputs, wide: DataFrame) -> str:
+    """Report files whose last preamble line names their months."""
     path = shared_path(i.spark, "tabnet")
-    cells = [F.coalesce(F.col(c), F.lit("")) for c in i.stays_wide.columns]
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in wide.columns]
     line = F.concat_ws(";", *cells)
+    names = [f"{c[2:6]}/{MONTH_NAMES[int(c[6:]) - 1].title()}" for c in wide.columns if c.startswith("m_")]
+    header = ";".join(["Estab", *names, "Total"])
     # Ids restart in every partition, and a partition becomes a file.
     starts_file = F.monotonically_increasing_id() % 2**33 == 0
-    preamble = F.array(*[F.lit(p) for p in PREAMBLE], line)
-    i.stays_wide.select(
+    preamble = F.array(*[F.lit(p) for p in [*PREAMBLE, header]], line)
+    wide.select(
         F.explode(F.when(starts_file, preamble).otherwise(F.array(line)))
     ).write.text(path)
-    return silver.patient_days(read_report(i.spark, path, STAYS).good)
+    return path
+
+
+def _report(i: Inputs) -> DataFrame:
+    return silver.patient_days(read_report(i.spark, _report_files(i, i.stays_wide)).good)
 
 
 def _glob(i: Inputs) -> DataFrame:
@@ -108,7 +116,7 @@ def _rejects(i: Inputs) -> DataFrame:
 def _load_report(i: Inputs) -> DataFrame:
     table = f"{tables.scratch_database(i.spark)}.brz_cnes_leitos_raw"
     load = _dirty_beds(i)
-    report = tables.append_load(load, table, reject_limit=load.rejected.count())
+    report = tables.append_load(load, table, DIRTY_LIMIT)
     return report.agg(
         F.sum("lidas").alias("lidas"),
         F.sum("rejeitadas").alias("rejeitadas"),
@@ -135,6 +143,17 @@ def _reload(i: Inputs) -> DataFrame:
     return silver.beds(i.spark.table(table))
 
 
+def _reload_over_limit(i: Inputs) -> DataFrame:
+    """A reload with too many rejects leaves what was there."""
+    table = f"{tables.scratch_database(i.spark)}.brz_cnes_leitos_raw"
+    tables.append_load(_beds_load(i), table)
+    try:
+        tables.reload(_dirty_beds(i), table, reject_limit=0)
+    except tables.RejectLimitExceeded:
+        return silver.beds(i.spark.table(table))
+    raise AssertionError("the dirty registry has rejects")
+
+
 def _overwrite(i: Inputs) -> DataFrame:
     table = f"{tables.scratch_database(i.spark)}.slv_cnes_leitos"
     tables.materialize(i.beds_raw, table)
@@ -187,18 +206,17 @@ def _transcode(i: Inputs) -> DataFrame:
 
 
 def _stream(i: Inputs) -> DataFrame:
-    """Two drops of files and a run with nothing new."""
-    folder, target, checkpoint = (
-        shared_path(i.spark, n) for n in ("chegada", "brz_sih_rd_raw", "controle")
-    )
+    """Two drops of files and a run with nothing new, into the bronze table."""
+    folder, checkpoint = (shared_path(i.spark, n) for n in ("chegada", "controle"))
+    database = tables.scratch_database(i.spark)
     rows = _full_layout(i.admissions_raw, ADMISSIONS)
     late = F.col("ano_cmpt") >= "1999"
-    load = None
-    for part in (rows.where(~late), rows.where(late), None):
+    table = None
+    for part in (rows.where(late), rows.where(~late), None):
         if part is not None:
             part.write.mode("append").csv(folder, header=True, escape='"')
-        load = ingest_available(i.spark, folder, ADMISSIONS, target, checkpoint)
-    return reports.bronze_volume(load.good)
+        table = ingest_table(i.spark, folder, database, checkpoint)
+    return reports.bronze_volume(i.spark.table(table))
 
 
 def _built(i: Inputs) -> str:
@@ -228,6 +246,7 @@ BRONZE: dict[str, Query] = {
     "s6_load_report": over(_load_report),
     "s7_append_load": over(_append),
     "s7_reload": over(_reload),
+    "s7_reload_over_limit": over(_reload_over_limit),
     "s9_materialize": over(_overwrite),
     "s10_view_late_binding": over(_late_binding),
     "s12_transcode_files": over(_transcode),
@@ -238,4 +257,7 @@ BRONZE: dict[str, Query] = {
     "pipeline_features_view": over(
         lambda i: i.spark.table(f"{_built(i)}.gld_features_hospital")
     ),
+    "pipeline_clinical_profile": over(
+        lambda i: i.spark.table(f"{_built(i)}.gld_perfil_clinico")
+    ),
 }

@@ -52,6 +52,7 @@ RELATIONAL: dict[str, Query] = {
     "d21_occupancy_by_unit_type": over(lambda i: reports.occupancy_by_unit_type(i.occupancy)),
     "d22_highest_now": over(lambda i: reports.highest_now(i.occupancy)),
     "d23_dashboard_kpis": over(lambda i: reports.lights_now(i.occupancy)),
+    "d23_light_bands": over(lambda i: reports.light_bands(i.occupancy)),
     "d23_ranking_board": over(lambda i: reports.ranking_board(i.occupancy)),
     "d23_trend": over(lambda i: reports.trend_feed(i.occupancy)),
     "d24_dim_cid": over(lambda i: i.diseases),

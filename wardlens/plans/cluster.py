@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,50 +42,94 @@ SEED = 42
 
 
 def scaled_features(features: DataFrame) -> DataFrame:
-    """One standardized vector per hospital; missing features take the median.
+    """One standardized vector per hospital; missing features take the exact median, 0 if all miss.
 
     The result is stored, since every fit below reads it many times.
     """
-    numeric = features.select("co_cnes", *[F.col(c).cast("double") for c in FEATURES])
-    filled = [f"{c}_cheio" for c in FEATURES]
+    numeric = cut_lineage(features.select("co_cnes", *[F.col(c).cast("double") for c in FEATURES]))
+    medians = numeric.agg(*[F.percentile(c, F.lit(0.5)).alias(c) for c in FEATURES]).first()
+    filled = numeric.fillna({c: medians[c] or 0.0 for c in FEATURES})
     pipeline = Pipeline(
         stages=[
-            Imputer(inputCols=FEATURES, outputCols=filled, strategy="median"),
-            VectorAssembler(inputCols=filled, outputCol="bruto"),
+            VectorAssembler(inputCols=FEATURES, outputCol="bruto"),
             StandardScaler(inputCol="bruto", outputCol="features", withMean=True, withStd=True),
         ]
     )
-    numeric = cut_lineage(numeric)
-    return cut_lineage(pipeline.fit(numeric).transform(numeric).select("co_cnes", "features"))
+    return cut_lineage(pipeline.fit(filled).transform(filled).select("co_cnes", "features"))
 
 
-def _fit(scaled: DataFrame, k: int):
-    return KMeans(k=k, seed=SEED, featuresCol="features", predictionCol="cluster").fit(scaled)
+def scaled_columns(scaled: DataFrame, decimals: int = 6) -> DataFrame:
+    """The standardized matrix as columns."""
+    values = vector_to_array("features")
+    return scaled.select(
+        "co_cnes", *[F.round(values[i], decimals).alias(c) for i, c in enumerate(FEATURES)]
+    )
+
+
+def _fit(scaled: DataFrame, k: int) -> KMeansModel:
+    return KMeans(k=k, seed=SEED, featuresCol="features", predictionCol="grupo").fit(scaled)
 
 
 @dataclass
 class Elbow:
+    """The fitted models of several K over one matrix, and their costs."""
+
     costs: list[tuple[int, float]]
+    models: dict[int, KMeansModel] = field(default_factory=dict)
+    scaled: DataFrame | None = None
 
     def table(self, df: DataFrame) -> DataFrame:
         return df.sparkSession.createDataFrame(self.costs, "k int, custo double")
 
     def best_k(self) -> int:
-        """K at the sharpest bend: the largest second difference of the cost."""
+        """K at the sharpest bend: the largest second difference of the cost; without one the last."""
         bends = [
             (left[1] - 2 * here[1] + right[1], -here[0])
             for left, here, right in zip(self.costs, self.costs[1:], self.costs[2:])
         ]
-        return -max(bends)[1]
+        return -max(bends)[1] if bends else self.costs[-1][0]
+
+    def centres(self, k: int) -> list[list[float]]:
+        """Centres in the order of their numbers: by mean number of beds, then the rest."""
+        return sorted([float(x) for x in c] for c in self.models[k].clusterCenters())
+
+    def assign(self, k: int) -> DataFrame:
+        """`gld_cluster`. Numbers do not depend on the order of the rows that were fitted."""
+        order = sorted(range(k), key=lambda i: tuple(self.models[k].clusterCenters()[i]))
+        number = F.create_map(*[F.lit(x) for i, old in enumerate(order) for x in (old, i)])
+        fitted = self.models[k].transform(self.scaled)
+        return fitted.select("co_cnes", number[F.col("grupo")].alias("cluster"))
 
 
 def elbow(scaled: DataFrame, ks: range = range(2, 11)) -> Elbow:
-    return Elbow([(k, float(_fit(scaled, k).summary.trainingCost)) for k in ks])
+    """One fit for each K that has enough different hospitals."""
+    different = scaled.select("features").distinct().limit(max(ks)).count()
+    models = {k: _fit(scaled, k) for k in ks if k <= max(different, ks[0])}
+    return Elbow([(k, float(m.summary.trainingCost)) for k, m in models.items()], models, scaled)
 
 
 def assign_clusters(scaled: DataFrame, k: int) -> DataFrame:
-    """`gld_cluster`."""
-    return _fit(scaled, k).transform(scaled).select("co_cnes", "cluster")
+    return elbow(scaled, range(k, k + 1)).assign(k)
+
+
+def assignment_check(fits: Elbow, k: int) -> DataFrame:
+    """Hospitals assigned, and how many of them stand nearer to another centre than their own."""
+    values = vector_to_array("features")
+    distances = [
+        F.aggregate(
+            F.zip_with(values, F.array(*[F.lit(x) for x in c]), lambda a, b: (a - b) * (a - b)),
+            F.lit(0.0),
+            lambda done, d: done + d,
+        )
+        for c in fits.centres(k)
+    ]
+    own = F.element_at(F.array(*distances), F.col("cluster") + 1)
+    joined = fits.scaled.join(fits.assign(k), "co_cnes")
+    return joined.agg(
+        F.count("*").alias("hospitais"),
+        F.count_if(own > F.least(*distances) + 1e-9).alias("longe_do_centro"),
+        F.min("cluster").cast("bigint").alias("primeiro"),
+    )
 
 
 def size_group(beds: Column, sizes: list[tuple[int, str]] = SIZES, largest: str = LARGEST) -> Column:
@@ -97,7 +142,8 @@ def size_group(beds: Column, sizes: list[tuple[int, str]] = SIZES, largest: str
 
 def pressure_factors(features: DataFrame, group: str) -> DataFrame:
     """`gld_fatores_hospital`: z-scores against the group and the dominant factor."""
-    members = features.select("co_cnes", group, *FACTORS.values())
+    # Read twice, for the moments and for the rows.
+    members = cut_lineage(features.select("co_cnes", group, *FACTORS.values()))
     scored = dominant_factor(peer_zscores(members, group, FACTORS), list(FACTORS))
     return scored.select(
         "co_cnes", group, *[f"z_{f}" for f in FACTORS], "fator_dominante"

@@ -11,12 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardlens.plans import clinical, cluster, gold, reports, silver, situation
+from wardlens.session import cut_lineage
 from wardlens.sources.bronze import TABLES as BRONZE
 from wardlens.sources.tables import (
     define_view,
     materialize,
     materialize_by_hospital,
     materialize_by_month,
+    recent_loads,
+    reports_table,
 )
 
 def build_silver(
@@ -79,19 +82,26 @@ def build(
     to the session's shuffle partitions."""
     build_silver(spark, database, city, buckets, partitions)
     define_gold(spark, database)
+    materialize(
+        clinical.clinical_profile(
+            spark.table(f"{database}.slv_internacao"), spark.table(f"{database}.dim_cid")
+        ),
+        f"{database}.gld_perfil_clinico",
+    )
 
 
 def build_clusters(spark: SparkSession, database: str) -> None:
-    """`gld_cluster` and `gld_fatores_hospital`, tables written from the feature plan."""
-    features = gold.hospital_features(
-        spark.table(f"{database}.slv_ocupacao"),
-        spark.table(f"{database}.slv_internacao"),
-        spark.table(f"{database}.slv_cnes_leitos"),
-        single_name=True,
+    """`gld_cluster` and `gld_fatores_hospital`, tables written from one pass over the features."""
+    features = cut_lineage(
+        gold.hospital_features(
+            spark.table(f"{database}.slv_ocupacao"),
+            spark.table(f"{database}.slv_internacao"),
+            spark.table(f"{database}.slv_cnes_leitos"),
+            single_name=True,
+        )
     )
-    scaled = cluster.scaled_features(features)
-    best = cluster.elbow(scaled).best_k()
-    materialize(cluster.assign_clusters(scaled, best), f"{database}.gld_cluster")
+    fits = cluster.elbow(cluster.scaled_features(features))
+    materialize(fits.assign(fits.best_k()), f"{database}.gld_cluster")
     grouped = features.join(spark.table(f"{database}.gld_cluster"), "co_cnes")
     materialize(
         cluster.pressure_factors(grouped, "cluster"), f"{database}.gld_fatores_hospital"
@@ -104,17 +114,29 @@ def check_reports(spark: SparkSession, database: str) -> dict[str, Callable[[],
         spark.table(f"{database}.{name}")
         for name in ("slv_internacao", "slv_sih_diasperm", "slv_cnes_leitos", "slv_ocupacao")
     )
-    return {
-        "Volume por competencia": lambda: reports.admissions_by_month(internacao),
-        "Prova real entre fontes": lambda: reports.reconciliation(internacao, diasperm),
-        "Semaforo na ultima competencia": lambda: reports.lights_now(ocupacao),
-        "Top 10 criticos": lambda: reports.top_critical(ocupacao),
-        "Amostra de features": lambda: reports.features_sample(ocupacao, internacao, leitos),
-        "Cadastrados e ativos": lambda: situation.registry_gap(leitos, diasperm),
+    bronze = {name: f"{database}.{table}" for name, table in BRONZE.items()}
+    checks = {
+        "Admissions in bronze, by month": lambda: reports.bronze_volume(
+            spark.table(bronze["admissions"])
+        ),
+        "Admissions kept, by month": lambda: reports.admissions_by_month(internacao),
+        "Patient days of both sources": lambda: reports.reconciliation(internacao, diasperm),
+        "Hospitals per light now": lambda: reports.light_bands(ocupacao),
+        "Fullest hospitals now": lambda: reports.top_critical(ocupacao),
+        "Hospital features, first rows": lambda: reports.features_sample(
+            ocupacao, internacao, leitos
+        ),
+        "Hospitals registered and reporting": lambda: situation.registry_gap(leitos, diasperm),
     }
+    for name, table in bronze.items():
+        if spark.catalog.tableExists(reports_table(table)):
+            checks[f"Newest loads of {name}"] = lambda table=table: recent_loads(spark, table)
+    return checks
 
 
 def show_reports(spark: SparkSession, database: str) -> None:
+    """Print every check with all its rows; they are reports of months, units or top lists."""
     for title, report in check_reports(spark, database).items():
         print(f"=== {title} ===")
-        report().show(100, truncate=False)
+        rows = report()
+        rows.show(max(1, rows.count()), truncate=False)

@@ -6,11 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROLE = "Voce escreve consultas Spark SQL. "
-RULES = (
-    "Devolva somente a consulta SQL, em texto puro, sem comentarios, "
-    "sem marcacao e sem ponto e virgula no fim. "
-)
+# What the columns of the views mean, in the words the prompt gives to the model.
+MEANINGS = {
+    "co_cnes": "hospital code, 7 digits with leading zeros",
+    "nome_estabelecimento": "hospital name",
+    "ds_tipo_unidade": "kind of unit",
+    "competencia": "month as text YYYYMM",
+    "paciente_dia": "patient days of the month",
+    "leito_dia": "available bed days of the month",
+    "taxa_ocupacao": "occupancy in percent, may exceed 100, NULL without beds",
+    "semaforo": "light: CRITICO above 95 %, ATENCAO from 85 %, else OK",
+    "var_vs_mes_anterior": "percentage points against the hospital's previous month",
+    "media_movel_3m": "mean occupancy of its last three months, in percent",
+    "ranking_no_mes": "place within the month, 1 is the fullest",
+}
+INTRO = "You translate questions about hospital beds into one Spark SQL SELECT. "
+FORM = "Reply with that statement alone. Compare months as text; the newest is max(competencia). "
 ANSWER = T.StructType().add(
     "candidates",
     T.ArrayType(
@@ -26,13 +37,16 @@ ANSWER = T.StructType().add(
 
 
 def describe(name: str, schema: T.StructType) -> str:
-    """One line about a view, from its schema."""
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-    return f"Tabela {name} com colunas: {columns}. "
+    """What a model must know of a view: each column's name, type and meaning."""
+    columns = [
+        f"{f.name} {f.dataType.simpleString()}" + (f" ({MEANINGS[f.name]})" if f.name in MEANINGS else "")
+        for f in schema
+    ]
+    return f"View {name}: {'; '.join(columns)}. "
 
 
 def prompt(question: Column, schema_text: str) -> Column:
-    return F.concat(F.lit(f"{ROLE}{schema_text}{RULES}Pergunta: "), question)
+    return F.concat(F.lit(f"{INTRO}{schema_text}{FORM}Question: "), question)
 
 
 def request_body(text: Column) -> Column:

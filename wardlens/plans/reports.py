@@ -13,6 +13,9 @@ from wardlens.operators.selection import at_latest, first_rows, highest_first
 from wardlens.plans import gold
 from wardlens.plans.silver import CITY
 
+# Fixed values below: the column names of every report, which readers of the reports rely on.
+BANDS = ("CRITICO", "ATENCAO", "OK")
+
 # --- admissions -----------------------------------------------------------------------
 
 
@@ -208,6 +211,22 @@ def lights_now(ocupacao: DataFrame) -> DataFrame:
     )
 
 
+def light_bands(ocupacao: DataFrame) -> DataFrame:
+    """Hospitals of the newest month in each band, empty bands too, and those above 100 %."""
+    lights = gold.latest_lights(ocupacao)
+    bands = lights.sparkSession.createDataFrame([(b,) for b in BANDS], "faixa string")
+    counted = lights.groupBy(F.col("semaforo").alias("faixa")).agg(F.count("*").alias("n"))
+    above = lights.agg(
+        F.lit("ACIMA DE 100").alias("faixa"), F.count_if(F.col("taxa_ocupacao") > 100).alias("hospitais")
+    )
+    return (
+        bands.join(counted, "faixa", "left")
+        .select("faixa", F.coalesce("n", F.lit(0)).cast("bigint").alias("hospitais"))
+        .unionByName(above)
+        .orderBy("faixa")
+    )
+
+
 def top_critical(ocupacao: DataFrame, n: int = 10) -> DataFrame:
     return gold.top_of_latest(ocupacao, n).select(
         "ranking_no_mes",

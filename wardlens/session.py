@@ -37,10 +37,17 @@ def apply_settings(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's checkpoint folder.
 
-    Only a session that names none (tests, local runs) gets a folder of its own.
+    Only a session with a local master, whose tasks share the driver's disk, gets a folder of its
+    own when it names none.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(
+                "set spark.checkpoint.dir (or --work) to a folder that the whole cluster shares; "
+                f"with master {master} the driver's own disk will not do"
+            )
         root = tempfile.mkdtemp(prefix="wardlens-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -51,6 +58,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete what a run wrote, through Spark's file system."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, for plans that are read many times (iterative fits)."""
     spark = df.sparkSession

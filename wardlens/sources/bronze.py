@@ -16,7 +16,7 @@ from wardlens.sources.tables import append_load, reload
 @dataclass
 class Source:
     table: str
-    schema: T.StructType
+    schema: T.StructType | None  # None: every file's header declares it
     sep: str = ";"
     charset: str = WINDOWS
     preamble: int = 0
@@ -30,7 +30,7 @@ class Source:
 
 # Table names, separators, preamble lines and reject limits of the sources.
 SOURCES = {
-    "stays": Source("brz_sih_tabnet_raw", schemas.stay_report(), preamble=4),
+    "stays": Source("brz_sih_tabnet_raw", None, preamble=4),
     "beds": Source("brz_cnes_leitos_raw", schemas.BEDS),
     "admissions": Source(
         "brz_sih_rd_raw", schemas.ADMISSIONS, sep=",", charset="UTF-8", reject_limit=10_000

@@ -78,7 +78,9 @@ def reject_reason(schema: T.StructType) -> Column:
         value = F.col(field.name)
         if isinstance(field.dataType, T.StringType):
             width = field.metadata[WIDTH]
-            rules.append(F.when(F.length(value) > width, f"{field.name}: mais de {width} caracteres"))
+            # A text has at most as many characters as bytes; counting bytes decodes nothing.
+            wide = (F.octet_length(value) > width) & (F.length(value) > width)
+            rules.append(F.when(wide, f"{field.name}: mais de {width} caracteres"))
         else:
             kind = field.dataType.simpleString()
             broken = value.isNotNull() & value.try_cast(kind).isNull()
@@ -93,7 +95,8 @@ def surplus_fields(fields: int, sep: str) -> Column:
     separators outside quotes tell the two apart.
     """
     bare = F.regexp_replace(F.col(RAW), '"[^"]*"', "")
-    return F.coalesce(F.regexp_count(bare, F.lit(f"[{sep}]")) >= fields, F.lit(False))
+    surplus = F.regexp_count(bare, F.lit(f"[{sep}]")) >= fields
+    return F.when(F.col(RAW).isNull(), False).otherwise(surplus)
 
 
 @dataclass

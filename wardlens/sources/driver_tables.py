@@ -50,16 +50,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items on at least as many partitions as there are cores.
+    """Line items dealt by order, at every size alike, so that the plans on top are the same.
 
-    A scan splits by row group, so a file of one group would keep every later step on one
-    core. Inputs with enough splits of their own, any large one, are left alone.
+    A file of one row group would otherwise keep every later step in one task and one stage.
     """
     line = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    if line.rdd.getNumPartitions() >= cores:
-        return line
-    return line.repartition(cores, "l_orderkey")
+    parts = max(
+        spark.sparkContext.defaultParallelism,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+    return line.repartition(parts, "l_orderkey")
 
 
 def _day(value: Column) -> Column:
@@ -158,6 +158,13 @@ def stays_wide(
     to one row per task and month before the shuffle, and the table is scanned once.
     """
     key, month = F.col("chave"), F.col("mes")
+    months_shown = periods(first, months)
+    span = table(spark, sf_dir, "lineitem").agg(
+        *[F.date_format(f("l_shipdate"), "yyyyMM") for f in (F.min, F.max)]
+    ).first()
+    # The pivot would drop a month without a column.
+    if span[0] is not None and not months_shown[0] <= span[0] <= span[1] <= months_shown[-1]:
+        raise ValueError(f"ship dates from {span[0]} to {span[1]} exceed the report's months")
     stays = line_items(spark, sf_dir).select(
         F.explode(F.array("l_suppkey", F.lit(None).cast("bigint"))).alias("chave"),
         (F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("mes"),
@@ -174,12 +181,12 @@ def stays_wide(
         .agg(F.sum("dias").alias("dias"))
         .select("chave", "mes", cell.alias("celula"))
     )
-    labels = {int(p[:4]) * 12 + int(p[4:]): f"m_{p}" for p in periods(first, months)}
+    labels = {int(p[:4]) * 12 + int(p[4:]): f"m_{p}" for p in months_shown}
     wide = cells.groupBy("chave").pivot("mes", list(labels)).agg(F.first("celula"))
     names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     code = F.lpad(key.cast("string"), 7, "0")
-    months_shown = ", ".join(f"`{m}`" for m in labels)
-    total = f"aggregate(array({months_shown}), 0L, (done, days) -> done + greatest(days, 0L))"
+    columns = ", ".join(f"`{m}`" for m in labels)
+    total = f"aggregate(array({columns}), 0L, (done, days) -> done + greatest(days, 0L))"
     return wide.join(names, key == F.col("s_suppkey"), "left").select(
         F.when(key.isNull(), "Total")
         .when(key == 7, code)

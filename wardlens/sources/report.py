@@ -1,16 +1,62 @@
-"""Tabulated reports: a preamble of some lines, then delimited rows."""
+"""Tabulated reports: a preamble of some lines, then delimited rows.
+
+The preamble's last line names the columns. A report of months takes its layout from there: every
+file says itself which months it holds, and files with different windows load together.
+"""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlens.sources.delimited import FILE, RAW, WINDOWS, Load, checked, from_windows, raw_schema
+from wardlens.sources.schemas import month_report
 
+PATH = "_caminho"
+# Month abbreviations of the published reports.
+MONTH_NAMES = "jan fev mar abr mai jun jul ago set out nov dez".split()
+_YEAR_FIRST = re.compile(r"(\d{4})\W*(\d{2}|[a-z]{3})[a-z]*")
+_YEAR_LAST = re.compile(r"(\d{2}|[a-z]{3})[a-z]*\W*(\d{4})")
 
-def lines_after(spark: SparkSession, path: str, skip: int, charset: str) -> DataFrame:
-    """Physical lines of each file after its first `skip`, decoded.
+
+class UnknownLayout(ValueError):
+    """A report whose column names are not a label, months and perhaps a total."""
+
+
+def month_of(name: str) -> str | None:
+    """YYYYMM of a column name such as 2024/Out, Out/2024, 2024-10 or 202410; else None."""
+    name = name.strip().lower()
+    if found := _YEAR_FIRST.fullmatch(name):
+        year, month = found[1], found[2]
+    elif found := _YEAR_LAST.fullmatch(name):
+        year, month = found[2], found[1]
+    else:
+        return None
+    number = MONTH_NAMES.index(month) + 1 if month in MONTH_NAMES else int(month) if month.isdigit() else 0
+    return f"{year}{number:02d}" if 1 <= number <= 12 else None
+
+
+def month_layout(header: str, sep: str = ";") -> T.StructType:
+    """The layout that a report's header line declares."""
+    names = [n.strip().strip('"') for n in header.split(sep)]
+    while names and not names[-1]:
+        names.pop()
+    total = len(names) > 1 and names[-1].lower() == "total"
+    months = [month_of(n) for n in names[1 : len(names) - total]]
+    if not months or None in months:
+        raise UnknownLayout(f"not a label, months and a total: {header!r}")
+    if len(set(months)) < len(months):
+        raise UnknownLayout(f"a month is named twice: {header!r}")
+    return month_report(months, total)
+
+
+def numbered_lines(
+    spark: SparkSession, path: str, skip: int, charset: str
+) -> tuple[DataFrame, DataFrame]:
+    """Physical lines of each file after its first `skip`, decoded; and line `skip` itself.
 
     Only the split at the start of a file can hold its preamble, and ids grow along a split.
     Lines of that one split (at most spark.sql.files.maxPartitionBytes of them) are numbered;
@@ -22,38 +68,61 @@ def lines_after(spark: SparkSession, path: str, skip: int, charset: str) -> Data
     )
     lines = spark.read.text(path).select(
         (from_windows(decoded) if charset == WINDOWS else decoded).alias("linha"),
-        F.col("_metadata.file_path").alias("caminho"),
+        F.col("_metadata.file_path").alias(PATH),
         F.col("_metadata.file_name").alias(FILE),
         F.col("_metadata.file_block_start").alias("inicio"),
         F.monotonically_increasing_id().alias("posicao"),
     )
-    order = Window.partitionBy("caminho").orderBy("posicao")
-    first_split = (
-        lines.where("inicio = 0")
-        .withColumn("numero", F.row_number().over(order))
-        .where(F.col("numero") > skip)
+    order = Window.partitionBy(PATH).orderBy("posicao")
+    first_split = lines.where("inicio = 0").withColumn("numero", F.row_number().over(order))
+    below = first_split.where(F.col("numero") > skip).select("linha", FILE, PATH)
+    header = first_split.where(F.col("numero") == skip).select("linha", PATH)
+    return below.unionByName(lines.where("inicio > 0").select("linha", FILE, PATH)), header
+
+
+def lines_after(spark: SparkSession, path: str, skip: int, charset: str) -> DataFrame:
+    return numbered_lines(spark, path, skip, charset)[0].select("linha", FILE)
+
+
+def _parsed(lines: DataFrame, schema: T.StructType, sep: str) -> DataFrame:
+    parsed = F.from_csv(
+        F.col("linha"),
+        F.lit(raw_schema(schema).simpleString()[len("struct<") : -1].replace(":", " ")),
+        {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW},
     )
-    return first_split.select("linha", FILE).unionByName(
-        lines.where("inicio > 0").select("linha", FILE)
+    rows = lines.select(parsed.alias("r"), FILE).select(
+        *[F.col(f"r.{f.name}").alias(f.name) for f in schema], F.col(f"r.{RAW}").alias(RAW), FILE
     )
+    return checked(rows, schema, sep)
 
 
 def read_report(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    schema: T.StructType | None = None,
     skip: int = 4,
     sep: str = ";",
     charset: str = WINDOWS,
 ) -> Load:
-    lines = lines_after(spark, path, skip, charset).where(F.length(F.trim("linha")) > 0)
-    layout = raw_schema(schema)
-    parsed = F.from_csv(
-        F.col("linha"),
-        F.lit(layout.simpleString()[len("struct<") : -1].replace(":", " ")),
-        {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW},
-    )
-    rows = lines.select(parsed.alias("r"), FILE).select(
-        *[F.col(f"r.{f.name}").alias(f.name) for f in schema], F.col(f"r.{RAW}").alias(RAW), FILE
-    )
-    return Load(checked(rows, schema, sep), schema)
+    """Rows of one or more reports, by a declared layout or else by the months each file names.
+
+    Only the distinct header lines reach the driver, one for each window of months.
+    """
+    lines, headers = numbered_lines(spark, path, skip, charset)
+    lines = lines.where(F.length(F.trim("linha")) > 0)
+    if schema is not None:
+        return Load(_parsed(lines, schema, sep), schema)
+    texts = sorted(r.linha for r in headers.select("linha").distinct().collect())
+    if not texts:
+        raise UnknownLayout(f"no header line in {path}")
+    layouts = [month_layout(t, sep) for t in texts]
+    parts = []
+    for text, layout in zip(texts, layouts):
+        own = headers.where(F.col("linha") == text).select(PATH)
+        parts.append(_parsed(lines if len(texts) == 1 else lines.join(own, PATH, "left_semi"), layout, sep))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    months = sorted({f.name[2:] for layout in layouts for f in layout if f.name.startswith("m_")})
+    whole = month_report(months, any("total" in layout.names for layout in layouts))
+    return Load(rows, whole)

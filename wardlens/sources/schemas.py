@@ -25,10 +25,15 @@ def periods(first: str, months: int) -> list[str]:
     return [f"{m // 12:04d}{m % 12 + 1:02d}" for m in range(start, start + months)]
 
 
-def stay_report(first: str = "202410", months: int = 20) -> T.StructType:
+def month_report(months: list[str], total: bool = True) -> T.StructType:
     """Wide tabulation: one row per hospital, one text column per month."""
-    cells = [text(f"m_{p}", 20) for p in periods(first, months)]
-    return T.StructType([text("estab_cidade", 300), *cells, text("total", 20)])
+    cells = [text(f"m_{p}", 20) for p in months]
+    return T.StructType([text("estab_cidade", 300), *cells, *([text("total", 20)] if total else [])])
+
+
+def stay_report(first: str = "202410", months: int = 20) -> T.StructType:
+    """A declared window of months, for reports whose header does not name them."""
+    return month_report(periods(first, months))
 
 
 # Column names and widths of the published bed registry.

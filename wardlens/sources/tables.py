@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlens.operators.selection import first_rows
-from wardlens.session import shared_path
+from wardlens.session import remove_path, shared_path
 from wardlens.sources.delimited import Load
 
 
@@ -23,31 +23,71 @@ def scratch_database(spark: SparkSession) -> str:
     return name
 
 
-def append_load(load: Load, table: str, reject_limit: int = 100) -> DataFrame:
-    """Append the good rows of a load, or add nothing; returns this load's report.
+def _matched(df: DataFrame, table: str) -> DataFrame:
+    """The columns of an existing table, which gains those it lacks; absent ones stay NULL."""
+    spark = df.sparkSession
+    present = {f.name for f in spark.table(table).schema}
+    new = [f for f in df.schema if f.name not in present]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"alter table {table} add columns ({columns})")
+    return df.select(
+        *[
+            F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in spark.table(table).schema
+        ]
+    )
+
+
+def append_load(
+    load: Load, table: str, reject_limit: int = 100, replace: bool = False
+) -> DataFrame:
+    """Append the good rows of a load, or put them in place of the table's; returns its report.
 
     The checked rows are staged as Parquet first: the text is parsed once, the report reads
-    three staged columns, and a lost executor costs staged blocks, not another parse. The
-    report is kept, one row per file, in a table next to the loaded one, for failed loads too.
+    three staged columns, and a lost executor costs staged blocks, not another parse. Over the
+    reject limit the table is not touched. The report, one row per file, is kept in a table next
+    to the loaded one, for failed loads too; "OK" is written once the rows are in the table. A
+    table takes up months it has no column for yet.
     """
     spark = load.rows.sparkSession
     stage = shared_path(spark, "stage")
-    load.rows.write.parquet(stage)
-    staged = Load(spark.read.schema(load.rows.schema).parquet(stage), load.schema)
-    rejected = staged.rejected.count()
-    failed = rejected > reject_limit
-    report = staged.audit.withColumns(
+    run = stage.rsplit("-", 1)[-1]
+    try:
+        load.rows.write.parquet(stage)
+        staged = Load(spark.read.schema(load.rows.schema).parquet(stage), load.schema)
+        rejected = staged.rejected.count()
+        failed = rejected > reject_limit
+        if not failed:
+            if spark.catalog.tableExists(table):
+                _matched(staged.good, table).write.insertInto(table, overwrite=replace)
+            else:
+                staged.good.write.saveAsTable(table)
+        record_load(staged, table, run, failed)
+    finally:
+        remove_path(spark, stage)
+    if failed:
+        raise RejectLimitExceeded(f"{table}: {rejected} rows rejected, limit {reject_limit}")
+    return spark.table(reports_table(table)).where(F.col("carga") == run)
+
+
+def record_load(load: Load, table: str, run: str, failed: bool) -> None:
+    """Keep a load's report, one row per file."""
+    load.audit.withColumns(
         {
             "situacao": F.lit("FALHA" if failed else "OK"),
-            "carga": F.lit(stage.rsplit("-", 1)[-1]),
+            "carga": F.lit(run),
             "carregado_em": F.current_timestamp(),
         }
-    )
-    report.write.mode("append").saveAsTable(reports_table(table))
-    if failed:
-        raise RejectLimitExceeded(f"{table}: {rejected} rows rejected, limit {reject_limit}")
-    staged.good.write.mode("append").saveAsTable(table)
-    return report
+    ).write.mode("append").saveAsTable(reports_table(table))
+
+
+def loaded(spark: SparkSession, table: str, run: str) -> bool:
+    """Whether a load is recorded as done."""
+    reports = reports_table(table)
+    if not spark.catalog.tableExists(reports):
+        return False
+    return not spark.table(reports).where((F.col("carga") == run) & (F.col("situacao") == "OK")).isEmpty()
 
 
 def reports_table(table: str) -> str:
@@ -61,11 +101,8 @@ def recent_loads(spark: SparkSession, table: str, n: int = 5) -> DataFrame:
 
 
 def reload(load: Load, table: str, reject_limit: int = 100) -> DataFrame:
-    """Empty the table, then load."""
-    spark = load.rows.sparkSession
-    if spark.catalog.tableExists(table):
-        spark.sql(f"truncate table {table}")
-    return append_load(load, table, reject_limit)
+    """Put a load in place of the table's rows; over the reject limit the old rows stay."""
+    return append_load(load, table, reject_limit, replace=True)
 
 
 def materialize(df: DataFrame, table: str) -> None:

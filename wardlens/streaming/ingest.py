@@ -2,10 +2,33 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlens.sources.bronze import SOURCES
 from wardlens.sources.delimited import Load, as_rows, options, raw_schema
+from wardlens.sources.tables import RejectLimitExceeded, loaded, record_load
+from wardlens.session import remove_path, shared_path
+
+BATCH = "_lote"
+# Files are told apart by name alone, however old: the source's default would drop a file whose
+# modification time lies a week before the newest one it has seen.
+ANY_AGE = "36500d"
+
+
+def _new_lines(
+    spark: SparkSession, folder: str, schema: T.StructType, sep: str, charset: str, files: int
+) -> DataFrame:
+    return (
+        spark.readStream.schema(raw_schema(schema))
+        .options(**options(sep, charset, header=True))
+        .option("maxFilesPerTrigger", files)
+        .option("maxFileAge", ANY_AGE)
+        .csv(folder)
+    )
 
 
 def ingest_available(
@@ -18,18 +41,13 @@ def ingest_available(
     charset: str = "UTF-8",
     files_per_batch: int = 1000,
 ) -> Load:
-    """Load the files that arrived since the last run, then stop.
+    """Append the checked rows of files not seen before to Parquet at `target`, then stop.
 
     The checkpoint remembers the files seen and the sink's log the batches committed, so
-    running again, or after a failure, neither repeats nor loses a file. The stream is
-    stateless: rows are checked and appended, nothing is kept between batches.
+    running again, or after a failure, neither repeats nor loses a file, of any age. The stream
+    is stateless: rows are checked and appended, nothing is kept between batches.
     """
-    lines = (
-        spark.readStream.schema(raw_schema(schema))
-        .options(**options(sep, charset, header=True))
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
-    )
+    lines = _new_lines(spark, folder, schema, sep, charset, files_per_batch)
     query = (
         as_rows(lines, schema, sep, charset)
         .writeStream.format("parquet")
@@ -45,3 +63,61 @@ def ingest_available(
 def ingested(spark: SparkSession, schema: T.StructType, target: str) -> Load:
     """Everything ingested so far: good rows, rejects and the per-file report."""
     return Load(spark.read.parquet(target), schema)
+
+
+def ingest_table(
+    spark: SparkSession,
+    folder: str,
+    database: str,
+    checkpoint: str,
+    source: str = "admissions",
+    files_per_batch: int = 1000,
+    reject_limit: int | None = None,
+) -> str:
+    """Load files not seen before into a source's bronze table and its load report, then stop.
+
+    A batch of files behaves as one load: over the reject limit nothing of it is added, it is
+    reported as failed, and the run stops with the error; the next run takes up the same files.
+    A batch's rows are one partition of the table, named after the checkpoint and the batch, so
+    that a batch run twice after a failure replaces itself. Returns the table's name.
+    """
+    spec = SOURCES[source]
+    table = f"{database}.{spec.table}"
+    limit = spec.reject_limit if reject_limit is None else reject_limit
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    if spark.catalog.tableExists(table) and BATCH not in spark.table(table).columns:
+        raise ValueError(f"{table} was not created by a stream; ingest into a database of its own")
+
+    def add(rows: DataFrame, number: int) -> None:
+        session = rows.sparkSession
+        name = f"{stream}-{number}"
+        stage = shared_path(session, "stage")
+        try:
+            rows.write.parquet(stage)
+            staged = Load(session.read.schema(rows.schema).parquet(stage), spec.schema)
+            rejected = staged.rejected.count()
+            if rejected <= limit:
+                if session.catalog.tableExists(table):
+                    session.sql(
+                        f"insert overwrite table {table} partition ({BATCH} = '{name}') select * from {{good}}",
+                        good=staged.good,
+                    )
+                else:
+                    staged.good.withColumn(BATCH, F.lit(name)).write.partitionBy(BATCH).saveAsTable(table)
+            if not loaded(session, table, name):
+                record_load(staged, table, name, rejected > limit)
+        finally:
+            remove_path(session, stage)
+        if rejected > limit:
+            raise RejectLimitExceeded(f"{table}: {rejected} rows rejected, limit {limit}")
+
+    lines = _new_lines(spark, folder, spec.schema, spec.sep, spec.charset, files_per_batch)
+    query = (
+        as_rows(lines, spec.schema, spec.sep, spec.charset)
+        .writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return table
