@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -105,3 +106,52 @@ def test_edge_cases(make_docs):
         (1, 0, []), (2, 0, []), (3, 200_004, [("mit", 200_000)]), (3, 6, [("cc-by-nc", 0), ("cc-by-nc", 3)]), (None, 2, []),
     ]
     assert scan_licenses(make_docs([])).count() == 0
+
+
+def spelled(parsed, rng):
+    """A random text that the expression matches, each optional part there or not."""
+    out = ""
+    for op, arg in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            out += chr(arg)
+        elif kind == "IN":
+            name, value = rng.choice(arg)
+            out += {"LITERAL": lambda: chr(value), "RANGE": lambda: chr(value[0]), "CATEGORY": lambda: "x", "NEGATE": lambda: ""}[str(name)]()
+        elif kind == "NOT_LITERAL":
+            out += "x"
+        elif kind == "BRANCH":
+            out += spelled(rng.choice(arg[1]), rng)
+        elif kind == "SUBPATTERN":
+            out += spelled(arg[3], rng)
+        elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += "".join(spelled(arg[2], rng) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 1))))
+        elif kind != "ASSERT":
+            raise ValueError(kind)
+    return out
+
+
+@pytest.mark.parametrize("rule", RULES, ids=lambda r: r.name)
+def test_the_gate_is_open_with_and_without_every_optional_part(rule):
+    rng, parsed = random.Random(rule.name), re._parser.parse(rule.pattern.pattern.decode())
+    texts = {spelled(parsed, rng) for _ in range(80)}
+    assert any(rule.pattern.search(f"{t} ".encode()) for t in texts)
+    for text in texts:
+        if rule.pattern.search(f"{text} ".encode()):
+            assert all(not frozenset(text.encode().split()).isdisjoint(group) for group in rule.needs), text
+            assert scan(text.encode())[2], text
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("licensed under GPLv3", ["gpl-3"]),
+        ("licensed under AGPLv3", ["agpl-3"]),
+        ("released under LGPLv2.1", ["lgpl-2.1"]),
+        ("licensed under EPLv1", ["epl-1"]),
+        ("for non-commercial use only", ["non-commercial"]),
+        ("Proprietary and confidential", ["proprietary"]),
+    ],
+)
+def test_names_written_as_one_word_and_texts_without_other_needed_words(text, expected):
+    assert labels(text) == expected

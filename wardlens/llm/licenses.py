@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from re import _constants, _parser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -138,7 +139,7 @@ FORMS = [
     ("field", 60, 0.7, r"licen[cs]e (?:is )?(?:the )?(?:{name})(?: licen[cs]e)?", True),
     ("name", 40, 0.5, r"(?:{name})(?: public)? licen[cs]e", True),
 ]
-# Wordings of their own: label, priority, weight, expression, words it cannot match without.
+# Wordings of their own: label, priority, weight, expression, words it cannot match without (a|b: one of them).
 TEXTS = [
     ("mit", 90, 0.9, r"permission is hereby granted free of charge to any person obtaining a copy of this software", "permission hereby granted charge"),
     ("isc", 90, 0.9, r"permission to use copy modify and or distribute this software for any purpose with or without fee", "permission distribute fee"),
@@ -154,9 +155,9 @@ TEXTS = [
     ("cc0", 90, 0.9, r"to the extent possible under law [^.]{1,120}? waived all copyright", "extent waived copyright"),
     ("public-domain", 50, 0.6, r"(?:placed|dedicated|released|released in|in) (?:in|into|to)? ?the public domain", "public domain"),
     ("all-rights-reserved", 50, 0.6, r"all rights reserved", "rights reserved"),
-    ("proprietary", 50, 0.6, r"proprietary and confidential|unauthori[sz]ed copying of this file", ""),
+    ("proprietary", 50, 0.6, r"proprietary and confidential|unauthori[sz]ed copying of this file", "proprietary|unauthorized|unauthorised"),
     ("copyright", 30, 0.3, r"copyright (?:c )?(?:19|20)[0-9]{2}", "copyright"),
-    ("non-commercial", 45, 0.5, r"for non ?commercial (?:use|purposes) only", ""),
+    ("non-commercial", 45, 0.5, r"for non ?commercial (?:use|purposes) only", "non|noncommercial"),
 ]
 
 _WORDS = bytes(b + 32 if 65 <= b < 91 else b if 48 <= b < 58 or 97 <= b < 123 or b > 127 else 32 for b in range(256))
@@ -176,16 +177,31 @@ def _needs(*groups: str) -> tuple[frozenset[bytes], ...]:
     return tuple(frozenset(w.encode() for w in g.split()) for g in groups if g)
 
 
+def _heads(parsed) -> set[str]:
+    """All that a match can begin with, up to its first space (which is then the last character)."""
+    heads = {""}
+    for op, arg in parsed:
+        if all(h.endswith(" ") for h in heads):
+            break
+        if op is _constants.LITERAL:
+            parts = {chr(arg)}
+        elif op is _constants.IN and all(kind is _constants.LITERAL for kind, _ in arg):
+            parts = {chr(c) for _, c in arg}
+        elif op is _constants.BRANCH:
+            parts = set().union(*map(_heads, arg[1]))
+        elif op is _constants.SUBPATTERN:
+            parts = _heads(arg[3])
+        elif op is _constants.MAX_REPEAT and arg[:2] == (0, 1):
+            parts = {"", *_heads(arg[2])}
+        else:
+            raise ValueError(f"a name cannot begin with {op}")
+        heads = {h + p for h in heads if not h.endswith(" ") for p in parts} | {h for h in heads if h.endswith(" ")}
+    return heads
+
+
 def _first_words(names: str) -> str:
-    """Of each alternative its first plain word: without any of them no name matches."""
-    words = []
-    for alternative in re.split(r"\|(?![^(]*\))", names):
-        plain = re.sub(r"\((?:\?:)?[^()]*\)\??", " ", alternative)
-        found = [w for w in plain.split() if re.fullmatch(r"[a-z0-9]+", w)]
-        if not found:
-            return ""
-        words.append(found[0])
-    return " ".join(dict.fromkeys(words))
+    """Every word that a match can begin with: without any of them no name matches."""
+    return " ".join(sorted({h.strip() for h in _heads(_parser.parse(names))}))
 
 
 def _compiled(expression: str) -> re.Pattern[bytes]:
@@ -202,7 +218,7 @@ def build_rules() -> list[Rule]:
                 Rule(f"{form}:{label}", label, priority, weight, _compiled(around.format(name=names, spdx=spdx)), needs)
             )
     for label, priority, weight, expression, words in TEXTS:
-        rules.append(Rule(f"text:{label}", label, priority, weight, _compiled(expression), _needs(*words.split())))
+        rules.append(Rule(f"text:{label}", label, priority, weight, _compiled(expression), _needs(*(w.replace("|", " ") for w in words.split()))))
     # Of equal forms the license with the longer label is the more exact one.
     return sorted(rules, key=lambda r: (-r.priority, -len(r.label), r.name))
 
