@@ -95,3 +95,18 @@ def test_edge_cases_and_small_shards(spark, make_docs, library):
     empty = shared_path(spark, "ids")
     write_ids(make_docs([]), empty)
     assert read_ids(spark, empty).count() == 0
+
+
+def test_rounds_go_on_until_no_pair_is_frequent():
+    rng = random.Random(8)
+    passage = " ".join(rng.choice(["the", "of", "inst", "house", "river", "x!!", "and", "who"]) for _ in range(300))
+    texts = [passage.encode().split()] * 40 + [("na " * 5000).encode().split()]
+    payload, n = compress([*range(41)], texts, word_encoder(PATH), 1, 16)
+    shard = Shard(payload)
+    flat, _ = word_encoder(PATH).encode([w.decode() for t in texts for w in t])
+    assert n == len(flat) + len(texts) and [i for i in shard.all_ids().tolist() if i != 1] == [i for i in flat.tolist() if i != 1]
+    symbols = shard.symbols(0, len(shard.packed))
+    doc_of = np.repeat(np.arange(len(texts)), np.diff(shard.symbol_starts))
+    assert Grammar.round(shard.grammar, symbols.copy(), doc_of, None, 16) is None
+    assert shard.lengths.max() > 200  # a copied passage is one rule
+    assert len(shard.grammar.rules) < 2000 and np.diff(shard.symbol_starts)[:40].max() <= 4

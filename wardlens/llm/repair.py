@@ -46,8 +46,6 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 SHARD_IDS = 2_500_000
 LEAST_USES = 64
-ROUNDS_IN_WORDS = 3
-ROUNDS_ACROSS = 2
 
 HEADER = struct.Struct("<4sIIIQQI")  # mark, base, documents, rules, symbols, tokens, bytes of a symbol
 _MARK = b"RPG1"
@@ -183,7 +181,11 @@ class Grammar:
         order = np.full(len(symbols) + 2, len(pairs), np.int32)
         order[at + 1] = rank[place]
         mine = order[at + 1]
-        wins = (mine < order[at]) & (mine <= order[at + 2])
+        # In a run of one symbol every other pair, or a run would lose but one place a round.
+        runs_on = np.append(False, (at[1:] == at[:-1] + 1) & (mine[1:] == mine[:-1]))
+        starts = np.flatnonzero(~runs_on)
+        odd = (np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))) % 2 == 1
+        wins = ~odd & (runs_on | (mine < order[at])) & (mine <= order[at + 2])
         at, mine = at[wins], mine[wins]
         used = np.unique(mine)
         rename = np.zeros(len(pairs), np.int64)
@@ -227,18 +229,12 @@ def compress(
     grammar = Grammar(max(encoder.base, end_id + 1))
     word_of = np.repeat(np.arange(len(lengths)), lengths)
     uses = np.bincount(which, minlength=len(lengths))
-    for _ in range(ROUNDS_IN_WORDS):
-        keep = grammar.round(symbols, word_of, uses[word_of].astype(np.float64), least)
-        if keep is None:
-            break
+    while (keep := grammar.round(symbols, word_of, uses[word_of].astype(np.float64), least)) is not None:
         symbols, word_of = symbols[keep], word_of[keep]
     offsets = np.append(0, np.cumsum(np.bincount(word_of, minlength=len(lengths))))
     symbols, widths = _gather(symbols, offsets, which)
     doc_of = np.repeat(doc_of, widths)
-    for _ in range(ROUNDS_ACROSS):
-        keep = grammar.round(symbols, doc_of, None, least)
-        if keep is None:
-            break
+    while (keep := grammar.round(symbols, doc_of, None, least)) is not None:
         symbols, doc_of = symbols[keep], doc_of[keep]
 
     _, spans = grammar.expansions()
