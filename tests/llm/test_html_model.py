@@ -110,3 +110,11 @@ def test_edge_cases(spark, model):
     got = sorted(((r.page_id, r.text) for r in extract_text(spark.createDataFrame(rows, schema), model=model).collect()), key=repr)
     assert got == [(1, ""), (2, ("word " * 60_000).strip()), (2, ("word " * 60_000).strip()), (None, "A page without an id.")]
     assert extract_text(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_raw_elements_end_at_their_own_tag_after_letters_that_lower_to_two(model):
+    dots = "\u0130stanbul " * 40
+    page = f"<article><p>{dots}</p><SCRIPT>var a = '<p>no</p>';</Script><p>The first part.</p><p>The second part.</p></article>"
+    raws = [raw for node, raw in parse(page).events if node >= 0]
+    assert raws == [dots, "The first part.", "The second part."]
+    assert extract([page], model) == [f"{dots.strip()}\nThe first part.\nThe second part."]

@@ -47,6 +47,7 @@ _LABEL = re.compile(r"data-y=\"([01])\"")
 _WORD = re.compile(r"[a-z]+")
 
 _RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "select", "object"}
+_RAW_END = {tag: re.compile(f"</{tag}", re.IGNORECASE | re.ASCII) for tag in _RAW}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -134,7 +135,6 @@ def parse(source: str) -> Page:
         del open_tags[depth:], open_nodes[depth:]
 
     at = 0
-    low = None
     while found := _TOKEN.search(source, at):
         if found.start() > at:
             text(source[at : found.start()])
@@ -153,9 +153,9 @@ def parse(source: str) -> Page:
             continue
         if tag in _RAW:
             page.events.append((-1, "")) if tag == "title" else None
-            low = source.lower() if low is None else low
-            end = low.find(f"</{tag}", at)
-            end = len(source) if end < 0 else end
+            # Not in a lower-cased copy: lower() can change the length, and with it all later positions.
+            last = _RAW_END[tag].search(source, at)
+            end = last.start() if last else len(source)
             at = source.find(">", end) + 1 or len(source)
             continue
         if tag in _CLOSES:
