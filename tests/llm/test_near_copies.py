@@ -1,0 +1,75 @@
+"""The near-dedup stage against exact similarity of five-word shingles, pair by pair."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from wardlens.llm.simhash import drop_near_copies, fingerprint
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def similar(a, b):
+    return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+
+def plain_kept(rows):
+    """Ids of the rows that stay: brute force over all pairs."""
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if similar(sets[i], sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (key, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), key), key)
+    return set(least.values())
+
+
+def changed(words, n, rng):
+    words = list(words)
+    for at in rng.sample(range(len(words)), n):
+        words[at] = f"new{rng.randrange(10**9)}"
+    return words
+
+
+def test_planted_near_copies_and_near_misses(spark, make_docs):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(500)]
+    line = [rng.choice(vocabulary) for _ in range(30)]
+    rows = []
+    for _ in range(50):
+        base = [rng.choice(vocabulary) for _ in range(rng.randint(20, 300))] + line
+        for n in (0, *(rng.randint(1, 1 + len(base) // 25) for _ in range(4))):
+            rows.append(" ".join(changed(base, n, rng)))
+    base = [rng.choice(vocabulary) for _ in range(120)]
+    rows += [" ".join(changed(base, rng.randint(0, 2), rng)) for _ in range(150)]
+    for _ in range(20):
+        base = changed(base, 1, rng)  # a chain: neighbours only
+        rows.append(" ".join(base))
+    rows += ["", " ", "a b", "A  B", "a b c"]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    close = [(a, b) for _, a in rows for _, b in rows if a < b and similar(shingles(a), shingles(b))]
+    far = [(a, b) for a, b in close if (fingerprint(a.encode(), 5) ^ fingerprint(b.encode(), 5)).bit_count() > 4]
+    assert len(far) > 50
+    kept = drop_near_copies(make_docs(rows).repartition(4))
+    assert {r.doc_id for r in kept.collect()} == plain_kept(rows)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_tables_against_brute_force(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert {r.doc_id for r in drop_near_copies(docs).collect()} == plain_kept(rows)

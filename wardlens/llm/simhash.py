@@ -265,11 +265,13 @@ def simhash_groups(
 def drop_near_copies(
     docs: DataFrame, words: int = 5, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The document with the smallest id of each group, with all its columns.
+    """The document with the smallest id of each group of texts at a similarity of 0.8 or more, with all its columns.
 
     Rows with a null id stay: they cannot be named. Rows that share the smallest id stay together.
     """
-    groups = simhash_groups(docs, words, max_bits, id_col=id_col, text_col=text_col)
+    from wardlens.llm.near_copies import similar_groups
+
+    groups = similar_groups(docs, words, max_bits, id_col, text_col)
     gone = groups.filter("doc_id != component_id").select("doc_id").distinct()
     gone = gone.withColumnRenamed("doc_id", "__gone")
     return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
