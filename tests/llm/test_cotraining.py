@@ -74,3 +74,24 @@ def test_edge_cases(spark, make_docs):
     clash = docs.withColumn("keep", docs.lang).withColumn("quality", docs.source)
     assert drop_low_quality(clash, spark.createDataFrame([], LABELS)).columns == clash.columns
     assert META == ("lang", "source", "n_chars")
+
+
+def test_every_unlabelled_document_takes_part(spark, make_docs, monkeypatch):
+    from wardlens.llm import cotraining
+
+    seen = []
+    real = cotraining.co_train
+
+    def spy(*args, pool, **options):
+        def counted(*a):
+            seen.append(pool(*a)[:2])
+            return pool(*a)
+
+        return real(*args, pool=counted, **options)
+
+    monkeypatch.setattr(cotraining, "co_train", spy)
+    good, bad = "A plain and even sentence of words, number {}.", "$$$ || {} @@@ %%% ### !!! ~~~"
+    rows = [(i, (good if i % 2 else bad).format(i) * 3, "en", "ab"[i % 2], 50 + 900 * (i % 2)) for i in range(9500)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], LABELS)
+    cotraining.fit(make_docs(rows), labels)
+    assert seen and seen[-1].tolist() == [9100, 9100]

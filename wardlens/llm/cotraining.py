@@ -2,13 +2,14 @@
 
 One view is the text itself (shares of character classes, repetition, line structure), the other the
 page's metadata (category and size columns). Each view has its own logistic classifier over binned
-features. They start from the labels; in each round each labels the unlabelled documents that it is most
+features. They start from the labels; in each round each labels all unlabelled documents that it is
 sure of, at least `SURE`, for the other to learn from (Blum and Mitchell, "Combining labeled and
-unlabeled data with co-training"). Afterwards each view is calibrated on labels it has not seen, and the
+unlabeled data with co-training"). A document keeps the first label that a view is told. Every unlabelled
+document takes part in every round: its features are staged once, and what it adds to a view's gradient and
+Hessian is summed in Spark for each Newton step. Bins are quantiles over all documents. Afterwards each view is calibrated on labels it has not seen, and the
 calibrated log-odds are combined by weights fitted there, into one probability for every document.
 
-Labels and unlabelled documents for training are samples of at most `sample` ids each, those with the
-least hashes, a bound that does not grow with the tables. All documents are scored from their whole
+Labels for training are a sample of at most `sample` ids, those with the least hashes. All documents are scored from their whole
 texts. Null metadata is a category of its own, null text counts as empty. Labels that are null or name
 no document are left out; a document labelled twice is good only if all its labels say so. Without both
 kinds of labels nothing is rejected. Repeated rows stay; other columns are passed through unread.
@@ -19,7 +20,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -29,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlens.llm.staging import ship_package
+from wardlens.llm.staging import ship_package, staged
 
 SAMPLE = 8_000
 ROUNDS = 5
-PER_ROUND = 400
+NEWTON = 4
 SURE = 0.97
 META = ("lang", "source", "n_chars")
 _QUANTILES = (0.02, 0.1, 0.3, 0.5, 0.7, 0.9, 0.95, 0.98)
@@ -147,36 +148,89 @@ class CoTrained:
         return tuple(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (a, b, both))
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, held: np.ndarray, rounds: int = ROUNDS) -> CoTrained:
-    """`label`: 1, 0, or -1 where there is none; `held`: labels kept for calibration."""
-    cuts = np.quantile(text, _QUANTILES, axis=0).T if len(text) else np.zeros((N_TEXT, len(_QUANTILES)))
-    out = CoTrained(cuts)
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-z))
+
+
+def _sums(x: np.ndarray, y: np.ndarray, view: View) -> np.ndarray:
+    """Gradient and Hessian of a view's loss over these rows, the bias last, end to end."""
+    width = len(view.weights)
+    out = np.zeros((width + 2, width + 1))
+    for i in range(0, len(x), 4096):
+        part = x[i : i + 4096]
+        p = _sigmoid(view.raw(part))
+        ones = np.zeros((len(part), width + 1))
+        ones[np.arange(len(part))[:, None], part] = 1
+        ones[:, width] = 1
+        out[0] += ones.T @ (p - y[i : i + 4096])
+        out[1:] += ones.T @ (ones * (p * (1 - p))[:, None])
+    return out.ravel()
+
+
+def told_sums(views: list[np.ndarray], history: list[list[View]], now: list[View]) -> np.ndarray:
+    """Of unlabelled rows: how many each view was told, and its sums over them."""
+    told, sums = [], []
+    for v in (0, 1):
+        y = np.full(len(views[v]), -1)
+        for models in history:
+            p = _sigmoid(models[1 - v].raw(views[1 - v]))
+            y = np.where(y >= 0, y, np.where(p >= SURE, 1, np.where(1 - p >= SURE, 0, -1)))
+        known = y >= 0
+        told.append(known.sum())
+        sums.append(_sums(views[v][known], y[known], now[v]))
+    return np.concatenate([told, *sums])
+
+
+def _cuts(text: np.ndarray) -> np.ndarray:
+    return np.quantile(text, _QUANTILES, axis=0).T if len(text) else np.zeros((N_TEXT, len(_QUANTILES)))
+
+
+def co_train(
+    text: np.ndarray,
+    meta: np.ndarray,
+    label: np.ndarray,
+    held: np.ndarray,
+    rounds: int = ROUNDS,
+    cuts: np.ndarray | None = None,
+    pool: Callable[[CoTrained, list[list[View]], list[View]], np.ndarray] | None = None,
+) -> CoTrained:
+    """`label`: 1, 0, or -1 where there is none; `held`: labels kept for calibration.
+
+    `pool` gives `told_sums` over further unlabelled rows, `cuts` the bins of all.
+    """
+    out = CoTrained(_cuts(text) if cuts is None else cuts)
     learn = (label >= 0) & ~held
     if len(set(label[learn].tolist())) < 2 or len(set(label[held & (label >= 0)].tolist())) < 2:
         return out
     views = [out.bins(text), meta]
     widths = [N_TEXT * (len(_QUANTILES) + 1), meta.shape[1] * _BUCKETS]
-    taught = [np.where(learn, label, -1), np.where(learn, label, -1)]
-    pool = label < 0
-
-    def fitted(v: int) -> View:
-        known = taught[v] >= 0
-        return View.fit(views[v][known], taught[v][known].astype(float), widths[v])
-
-    models = [fitted(0), fitted(1)]
+    free = [v[label < 0] for v in views]
+    models = [View.fit(views[v][learn], label[learn].astype(float), widths[v]) for v in (0, 1)]
+    history: list[list[View]] = []
+    before = np.zeros(2)
     for _ in range(rounds):
-        told = 0
-        for v in (0, 1):
-            other = 1 - v
-            p = 1 / (1 + np.exp(-models[v].raw(views[v])))
-            for value, sure in ((1, p), (0, 1 - p)):
-                free = np.flatnonzero(pool & (taught[other] < 0) & (sure >= SURE))
-                best = free[np.argsort(-sure[free], kind="stable")[:PER_ROUND]]
-                taught[other][best] = value
-                told += len(best)
-        if not told:
-            break
-        models = [fitted(0), fitted(1)]
+        history.append(models)
+        for step in range(NEWTON):
+            sums = told_sums(free, history, models)
+            if pool is not None:
+                sums = sums + pool(out, history, models)
+            if step == 0 and (sums[:2] == before).all():
+                history.pop()
+                break
+            before, at, moved = sums[:2], 2, []
+            for v in (0, 1):
+                n = widths[v] + 1
+                own = _sums(views[v][learn], label[learn], models[v]) + sums[at : at + n * (n + 1)]
+                at += n * (n + 1)
+                gradient, hessian = own[:n], own[n:].reshape(n, n)
+                penalty = np.append(np.full(widths[v], 2.0), 1e-3)
+                w = np.append(models[v].weights, models[v].bias)
+                w = w - np.clip(np.linalg.solve(hessian + np.diag(penalty), gradient + penalty * w), -2, 2)
+                moved.append(View(w[:-1], float(w[-1])))
+            models = moved
+        else:
+            continue
+        break
     fold = held & (label >= 0)
     for v in (0, 1):
         models[v].slope, models[v].shift = _platt(models[v].raw(views[v])[fold][:, None], label[fold])
@@ -218,34 +272,53 @@ def fit(
         .agg(F.min(F.col(label_col).cast("int")).alias("__label"))
     )
     by_hash = [F.xxhash64("__id"), "__id"]
-    labelled = known.orderBy(*by_hash).limit(sample)
-    ids = docs.select(F.col(id_col).cast("long").alias("__id")).filter("__id IS NOT NULL").distinct()
-    unlabelled = ids.join(known, "__id", "left_anti").orderBy(*by_hash).limit(sample).select("__id", F.lit(-1).alias("__label"))
-    # At most twice the sample, so every task may have all of it.
-    picked = F.broadcast(labelled.unionByName(unlabelled))
-    schema = "label int, held boolean, text array<double>, meta array<bigint>"
-
+    picked = known.orderBy(*by_hash).limit(sample)
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             text, m = _features(batch, meta)
             yield pa.record_batch(
-                [batch.column("__label"), batch.column("__held"), pa.array(list(text), pa.list_(pa.float64())), pa.array(list(m), pa.list_(pa.int64()))],
-                names=["label", "held", "text", "meta"],
+                [batch.column("__doc"), pa.array(list(text), pa.list_(pa.float64())), pa.array(list(m), pa.list_(pa.int64()))],
+                names=["id", "text", "meta"],
             )
 
-    rows = (
-        docs.select(F.col(id_col).cast("long").alias("__doc"), *_views(text_col, meta, docs))
-        .join(picked, F.col("__doc") == F.col("__id"))
-        .withColumn("__held", F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(4)) == 0)
-        .mapInArrow(batches, schema)
+    rows = docs.select(F.col(id_col).cast("long").alias("__doc"), *_views(text_col, meta, docs))
+    rows = staged(rows.mapInArrow(batches, "id long, text array<double>, meta array<bigint>"), "quality-features")
+    cuts = rows.agg(
+        *(F.percentile_approx(F.col("text")[c], F.array(*map(F.lit, _QUANTILES)), F.lit(10_000)) for c in range(N_TEXT))
+    ).first()
+    cuts = None if cuts[0] is None else np.array([list(c) for c in cuts])
+    found = (
+        rows.join(F.broadcast(picked), F.col("id") == F.col("__id"))
+        .select(F.col("__label").alias("label"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) == 0).alias("held"), "text", "meta")
         .toArrow()
     )
-    n = rows.num_rows
+    free = staged(rows.join(known, F.col("id") == F.col("__id"), "left_anti").select("text", "meta"), "quality-unlabelled")
+
+    def pool(model: CoTrained, history: list[list[View]], now: list[View]) -> np.ndarray:
+        n = 2 + sum((len(v.weights) + 1) * (len(v.weights) + 2) for v in now)
+
+        def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros(n)
+            for batch in it:
+                text = batch.column(0).flatten().to_numpy().reshape(len(batch), N_TEXT)
+                m = batch.column(1).flatten().to_numpy().reshape(len(batch), len(meta))
+                sums += told_sums([model.bins(text), m], history, now)
+            at = np.flatnonzero(sums)
+            yield pa.record_batch([pa.array(at), pa.array(sums[at])], names=["at", "value"])
+
+        added = free.mapInArrow(batches, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+        out = np.zeros(n)
+        out[added.column("at").to_numpy()] = added.column("value").to_numpy()
+        return out
+
+    n = found.num_rows
     return co_train(
-        np.array(rows.column("text").to_pylist(), float).reshape(n, N_TEXT),
-        np.array(rows.column("meta").to_pylist(), np.int64).reshape(n, len(meta)),
-        np.array(rows.column("label").to_pylist(), np.int64),
-        np.array(rows.column("held").to_pylist(), bool),
+        np.array(found.column("text").to_pylist(), float).reshape(n, N_TEXT),
+        np.array(found.column("meta").to_pylist(), np.int64).reshape(n, len(meta)),
+        np.array(found.column("label").to_pylist(), np.int64),
+        np.array(found.column("held").to_pylist(), bool),
+        cuts=cuts,
+        pool=pool,
     )
 
 
