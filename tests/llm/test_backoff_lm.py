@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 from wardlens.llm.backoff_lm import PRIOR, score_texts
+from wardlens.llm.queries import op6_lm_scoring
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -73,3 +74,8 @@ def test_edge_cases(make_docs):
     docs = make_docs(rows).withColumnsRenamed({"lang": "score", "source": "block"})
     same(score_texts(docs).collect(), [r for r in plain_scores([*rows[:7], (8, "</S> end".replace("</S>", "<s-s>"))], 2)])
     assert score_texts(make_docs([])).count() == 0
+
+
+def test_registered_query_scores_by_trigrams(spark, small_docs):
+    rows = [(r.doc_id, r.text) for r in small_docs.select("doc_id", "text").collect()]
+    same(op6_lm_scoring(spark, "/root/testdata/sf0.001").collect(), plain_scores(rows, 3))

@@ -53,7 +53,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_lm.score_texts(table(spark, sf_dir, "documents"))
+    return backoff_lm.score_texts(table(spark, sf_dir, "documents"), order=3)
 
 
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
