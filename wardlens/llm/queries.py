@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm import backoff_lm, bpe_automaton, cotraining, html_model, licenses, repair, tiling, toxicity
+from wardlens.llm import backoff_lm, bpe_automaton, cotraining, html_model, licenses, mixing, repair, tiling, toxicity
 from wardlens.llm.exact_dedup import exact_dedup
 from wardlens.llm.simhash import simhash_groups
 from wardlens.llm.staging import table
@@ -99,6 +99,53 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), limit=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+# The level is the first at which the next source, by size per weight, need not stop. The running sum
+# of words by hash is cut where it is nearest to what whole passes leave of the target.
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (
+  SELECT source, source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)),
+o AS (
+  SELECT *, row_number() OVER (ORDER BY source_size * 1.0 / w, source NULLS LAST) AS k FROM s),
+p AS (
+  SELECT *, (SELECT sum(source_size) FROM s) - 3 * (sum(source_size) OVER upto - source_size) AS num,
+         (SELECT sum(w) FROM s) - (sum(w) OVER upto - w) AS den
+  FROM o WINDOW upto AS (ORDER BY k ROWS UNBOUNDED PRECEDING)),
+level AS (
+  SELECT CAST(num AS BIGINT) AS num, CAST(den AS BIGINT) AS den FROM p
+  WHERE 3 * source_size * den >= w * num ORDER BY k LIMIT 1),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN 3 * source_size * den < w * num THEN CAST(3 * source_size AS DOUBLE)
+              ELSE CAST(w * num AS DOUBLE) / CAST(den AS DOUBLE) END AS target
+  FROM s, level),
+b AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
+g AS (
+  SELECT source, h, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) AS upto
+  FROM d GROUP BY source, h),
+c AS (
+  SELECT g.source, g.h,
+         upto <= budget OR (upto - words <= budget AND upto - budget < budget - (upto - words)) AS again
+  FROM g JOIN (SELECT *, greatest(0, target - passes * source_size) AS budget FROM b) AS x
+    ON g.source IS NOT DISTINCT FROM x.source)
+SELECT d.doc_id, d.size, b.source_size, b.target,
+       CAST(d.size * (b.passes + CASE WHEN c.again THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+       JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -110,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_token_id_output": op9_token_id_output,
     "op10_bpe_automaton": op10_bpe_automaton,
+    "op11_mixing": op11_mixing,
 }
 
-ORACLE: dict[str, str] = {"op1_exact_dedup": OP1_SQL}
+ORACLE: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op11_mixing": OP11_SQL}
