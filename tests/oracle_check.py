@@ -35,7 +35,7 @@ def _rows(columns: list[str], rows) -> list[tuple]:
     return sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
-KIND = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "int": "INTEGER"}
+KIND = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "int": "INTEGER", "boolean": "BOOLEAN"}
 
 
 def difference(df, connection, sql: str) -> str | None:
