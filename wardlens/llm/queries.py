@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm import backoff_lm, bpe_automaton, cotraining, html_model, licenses, mixing, repair, tiling, toxicity
+from wardlens.llm import backoff_lm, bpe_automaton, cotraining, html_model, licenses, mixing, repair, tiling, toxicity, whitening
 from wardlens.llm.exact_dedup import exact_dedup
 from wardlens.llm.simhash import simhash_groups
 from wardlens.llm.staging import table
@@ -146,6 +146,10 @@ FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
 """
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64, shift=1_000_000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -158,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_id_output": op9_token_id_output,
     "op10_bpe_automaton": op10_bpe_automaton,
     "op11_mixing": op11_mixing,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op11_mixing": OP11_SQL}
