@@ -27,3 +27,12 @@ def make_docs(spark):
 @pytest.fixture(scope="session")
 def small_docs(spark):
     return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+def difference_of(key, spark, sf="sf0.001"):
+    """The registered query against its SQL, whole result against whole result."""
+    from tests.oracle_check import connect, difference
+    from wardlens.llm.queries import ORACLE, QUERIES
+
+    path = f"/root/testdata/{sf}"
+    assert difference(QUERIES[key](spark, path), connect(path), ORACLE[key]) is None

@@ -1,0 +1,114 @@
+"""Mixing against plain code that sorts every source by hash, and against SQL."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from fractions import Fraction
+
+import pytest
+
+from tests.llm.conftest import difference_of
+from wardlens.llm import mixing
+from wardlens.llm.mixing import mix, ranked_sources
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_mix(rows, weights=(5, 2, 1), limit=3):
+    """(doc_id, size, source_size, target, taken) of rows (doc_id, text, source)."""
+    sized = []
+    for i, text, source in rows:
+        key = f"{'' if i is None else i}:{text or ''}".encode()
+        size = len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+        sized.append((i, source, size, int(hashlib.md5(key).hexdigest()[:15], 16)))
+    order = sorted({s for _, s, _, _ in sized}, key=lambda s: (s is None, s or ""))
+    total = {s: sum(r[2] for r in sized if r[1] == s) for s in order}
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    target, budget, open_ = {}, sum(total.values()), set(order)
+    while open_:  # reshare until none is above
+        share = {s: Fraction(budget * weight[s], sum(weight[t] for t in open_)) for s in open_}
+        above = {s for s in open_ if share[s] > limit * total[s]}
+        if not above:
+            target.update(share)
+            break
+        target.update({s: limit * total[s] for s in above})
+        budget -= sum(limit * total[s] for s in above)
+        open_ -= above
+    out = []
+    for s in order:
+        mine = [r for r in sized if r[1] == s]
+        passes = int(target[s] / total[s]) if total[s] else 0
+        rest, upto, again = target[s] - passes * total[s], 0, set()
+        for h in sorted({r[3] for r in mine}):
+            words = sum(r[2] for r in mine if r[3] == h)
+            if upto + words <= rest or (upto <= rest and upto + words - rest < rest - upto):
+                again.add(h)
+            upto += words
+            if upto > rest:
+                break
+        out += [(i, n, total[s], float(target[s]), n * (passes + (h in again))) for i, _, n, h in mine]
+    return out
+
+
+def got(df):
+    return sorted(((r.doc_id, r.size, r.source_size, pytest.approx(r.target), r.taken) for r in df.collect()), key=lambda r: repr(r[:2]))
+
+
+def check(df, rows, **options):
+    expected = sorted(plain_mix(rows, **options), key=lambda r: repr(r[:2]))
+    assert got(mix(df, **options)) == expected
+
+
+def test_query_equals_its_sql(spark):
+    difference_of("op11_mixing", spark, "sf0.01")
+
+
+@pytest.mark.parametrize("bits", [4, 10, 20])
+def test_table_against_plain_code(spark, monkeypatch, bits):
+    monkeypatch.setattr(mixing, "BUCKET_BITS", bits)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    check(docs, [(r.doc_id, r.text, r.source) for r in docs.collect()])
+
+
+def test_each_source_comes_near_its_target(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = mix(docs).collect()
+    for source in {r.source for r in rows}:
+        own = [r for r in rows if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own) / 2
+        assert all(r.taken <= 3 * r.size for r in own)
+    assert sum(t for t in {r.source: r.target for r in rows}.values()) == pytest.approx(sum(r.size for r in rows))
+    assert sorted(rows) == sorted(mix(docs.repartition(7)).collect())
+
+
+def test_limits_nulls_ties_and_repeated_rows(make_docs):
+    rows = [(1, "a b c", "en", "A", 0), (2, "a " * 4000, "en", "b", 0), (3, "x y", "en", None, 0), (3, "x y", "en", None, 0),
+            (None, None, "en", "b", 0), (None, "q", "en", "", 0), (4, "", "en", "empty", 0), (5, "z " * 50, "en", "é", 0),
+            (6, "w " * 70, "en", "A", 0)]
+    check(make_docs(rows), [(r[0], r[1], r[3]) for r in rows])
+    check(make_docs(rows), [(r[0], r[1], r[3]) for r in rows], weights=(1,), limit=1)
+    check(make_docs(rows), [(r[0], r[1], r[3]) for r in rows], weights=(1, 9), limit=7)
+
+
+def test_empty_and_wordless_tables(make_docs):
+    assert mix(make_docs([])).count() == 0
+    assert got(mix(make_docs([(1, ""), (2, None)]))) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
+
+
+def test_clashing_names(make_docs):
+    rows = [(1, "a b c", "en", "A", 0), (2, "a b", "en", "B", 0)]
+    docs = make_docs(rows).withColumnsRenamed({"lang": "h", "n_chars": "place"}).selectExpr("*", "1 AS size", "2 AS target", "3 AS bucket")
+    check(docs, [(r[0], r[1], r[3]) for r in rows])
+
+
+def test_places_of_many_sources(spark):
+    sized = spark.range(3000).selectExpr("cast(id % 2999 AS string) AS source", "1L AS size")
+    places = {r.source: r.place for r in ranked_sources(sized).collect()}
+    assert [s for s, _ in sorted(places.items(), key=lambda p: p[1])] == sorted(places)
+    assert sorted(places.values()) == list(range(2999))
+
+
+def test_no_python_and_no_sort_by_hash(spark):
+    plan = mix(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Sort [h" not in plan

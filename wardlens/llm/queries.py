@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm import backoff_lm, bpe_automaton, cotraining, html_model, licenses, mixing, repair, tiling, toxicity, whitening
+from wardlens.llm import backoff_lm, bpe_automaton, cotraining, html_model, licenses, mixing, repair, spelling, tiling, toxicity, whitening
 from wardlens.llm.exact_dedup import exact_dedup
 from wardlens.llm.simhash import simhash_groups
 from wardlens.llm.staging import table
@@ -146,6 +146,58 @@ FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
 """
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), least_letters=7, least_uses=2, ratio=10)
+
+
+# CRC-32 byte by byte over a table made by eight shifts of each byte value. Near words are found through
+# what is left when one letter is taken away, and then compared position by position.
+OP12_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+                              lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i))),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+        FROM documents)
+  WHERE length(run) >= 7 GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM (SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+                 lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+                           ELSE [CAST(192 + (unicode(x) >> 6) AS BIGINT), CAST(128 + (unicode(x) & 63) AS BIGINT)] END)) AS bytes, t
+        FROM runs, crc)),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+                    ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, CAST(unnest(range(length(word))) AS INT) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM less AS a JOIN less AS b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less AS a JOIN words AS b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less AS a JOIN words AS b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best ON words.word = best.word),
+ways AS (
+  SELECT word, word AS root, form AS further FROM forms
+  UNION ALL
+  SELECT ways.word, forms.word, forms.form FROM ways JOIN forms ON ways.further = forms.word)
+SELECT forms.word, n, n_near, form, form_n, root FROM forms JOIN ways ON forms.word = ways.word AND further IS NULL
+"""
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64, shift=1_000_000)
 
@@ -162,7 +214,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_id_output": op9_token_id_output,
     "op10_bpe_automaton": op10_bpe_automaton,
     "op11_mixing": op11_mixing,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 
-ORACLE: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op11_mixing": OP11_SQL}
+ORACLE: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op11_mixing": OP11_SQL, "op12_spelling_variants": OP12_SQL}
