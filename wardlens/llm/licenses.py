@@ -139,12 +139,14 @@ FORMS = [
     ("field", 60, 0.7, r"licen[cs]e (?:is )?(?:the )?(?:{name})(?: licen[cs]e)?", True),
     ("name", 40, 0.5, r"(?:{name})(?: public)? licen[cs]e", True),
 ]
+# A holder may be of any length: the place runs from the last opening before the closing words, so that a
+# text of openings alone is still read once.
 # Wordings of their own: label, priority, weight, expression, words it cannot match without (a|b: one of them).
 TEXTS = [
     ("mit", 90, 0.9, r"permission is hereby granted free of charge to any person obtaining a copy of this software", "permission hereby granted charge"),
     ("isc", 90, 0.9, r"permission to use copy modify and or distribute this software for any purpose with or without fee", "permission distribute fee"),
     ("bsd", 85, 0.9, r"redistribution and use in source and binary forms with or without modification are permitted", "redistribution binary permitted"),
-    ("bsd-3-clause", 90, 0.9, r"neither the name of [^.]{1,80}? nor the names of its contributors may be used to endorse", "neither contributors endorse"),
+    ("bsd-3-clause", 90, 0.9, r"neither the name of (?:(?!neither the name of ).)+? nor the names of its contributors may be used to endorse", "neither contributors endorse"),
     ("zlib", 90, 0.9, r"this software is provided as is without any express or implied warranty in no event will the authors", "provided warranty authors"),
     ("unlicense", 90, 0.9, r"this is free and unencumbered software released into the public domain", "unencumbered domain"),
     ("wtfpl", 90, 0.9, r"you just do what the fuck you want to", "just what want"),
@@ -152,7 +154,7 @@ TEXTS = [
     ("mpl-2", 90, 0.9, r"this source code form is subject to the terms of the mozilla public license v 2 0", "source mozilla"),
     ("gpl", 85, 0.9, r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "program redistribute gnu"),
     ("lgpl", 85, 0.9, r"this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license", "library redistribute gnu"),
-    ("cc0", 90, 0.9, r"to the extent possible under law [^.]{1,120}? waived all copyright", "extent waived copyright"),
+    ("cc0", 90, 0.9, r"to the extent possible under law (?:(?!to the extent possible under law ).)+? waived all copyright", "extent waived copyright"),
     ("public-domain", 50, 0.6, r"(?:placed|dedicated|released|released in|in) (?:in|into|to)? ?the public domain", "public domain"),
     ("all-rights-reserved", 50, 0.6, r"all rights reserved", "rights reserved"),
     ("proprietary", 50, 0.6, r"proprietary and confidential|unauthori[sz]ed copying of this file", "proprietary|unauthorized|unauthorised"),
