@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from tests.llm.conftest import difference_of
 from wardlens.llm.exact_dedup import DigestIndex, drop_copies, exact_dedup
 from wardlens.session import shared_path
 
@@ -41,6 +42,40 @@ def test_later_batches_meet_the_stored_index(spark, make_docs):
         index.drop()
 
 
+def test_a_batch_run_again_gets_the_same_verdicts(spark, make_docs):
+    index = DigestIndex(spark, shared_path(spark, "idx"), buckets=4)
+    index.add(make_docs([(1, "a")]), batch="first")
+    docs = make_docs([(5, "A"), (6, "b"), (7, "B")])
+    once = by_id(index.add(docs, batch="second"), "keep_id", "kept")
+    assert once == [(5, 1, False), (6, 7, False), (7, 7, True)]
+    assert by_id(index.add(docs, batch="second"), "keep_id", "kept") == once
+    assert index.table().count() == 2
+    assert not any(r.kept for r in index.add(docs, batch="third").collect())
+
+
+def test_an_index_is_attached_with_its_own_buckets_and_compacted(spark, make_docs):
+    path = shared_path(spark, "idx")
+    index = DigestIndex(spark, path, buckets=3)
+    for i in range(4):
+        index.add(make_docs([(i, f"text {i % 3} {j}") for j in range(20)]))
+    index.drop()
+    other = DigestIndex(spark.newSession(), path)
+    assert other.buckets == 3 and other.table().count() == 60
+    assert not any(r.kept for r in other.add(make_docs([(9, "TEXT 1 7")])).collect())
+    packed = other.compacted(shared_path(spark, "idx"), buckets=5)
+    assert sorted(map(tuple, packed.table().collect())) == sorted(map(tuple, other.table().collect()))
+    assert len(packed.table().inputFiles()) <= 5 < len(other.table().inputFiles())
+    assert not any(r.kept for r in packed.add(make_docs([(9, "TEXT 2 7")])).collect())
+
+
+def test_buckets_follow_the_session(spark):
+    assert DigestIndex(spark, shared_path(spark, "idx")).buckets == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_query_equals_its_sql(spark):
+    difference_of("op1_exact_dedup", spark)
+
+
 def test_the_index_is_not_shuffled(spark, make_docs):
     index = DigestIndex(spark, shared_path(spark, "idx"), buckets=4)
     try:
