@@ -6,12 +6,14 @@ import pytest
 from wardlens.llm.cotraining import (
     META,
     N_TEXT,
+    CoTrained,
     co_train,
     drop_low_quality,
     meta_features,
     score_quality,
     text_features,
 )
+from wardlens.llm.queries import QUERIES
 
 LABELS = "doc_id long, quality int"
 
@@ -76,6 +78,45 @@ def test_edge_cases(spark, make_docs):
     assert META == ("lang", "source", "n_chars")
 
 
+def test_query_equals_plain_code(spark):
+    """Bins, rounds and calibration once more over collected rows, without Spark."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = sorted(docs.collect())
+    text = np.array([text_features((r.text or "").encode()) for r in rows])
+    meta = meta_features([[r[c] for r in rows] for c in META])
+    known = {}
+    for r in labels.collect():
+        if r.quality is not None:
+            known[r.doc_id] = min(r.quality, known.get(r.doc_id, 1))
+    ids = spark.createDataFrame([(r.doc_id,) for r in rows], "id long").selectExpr("id", "pmod(xxhash64(id, 1), 4) = 0 AS held")
+    held = {r.id: r.held for r in ids.collect()}
+    ordered = np.sort(text, axis=0)
+    at = [max(0, int(np.ceil(q * len(rows))) - 1) for q in (0.02, 0.1, 0.3, 0.5, 0.7, 0.9, 0.95, 0.98)]
+    model = co_train(
+        text, meta, np.array([known.get(r.doc_id, -1) for r in rows]), np.array([held[r.doc_id] for r in rows]), cuts=ordered[at].T
+    )
+    expected = np.column_stack(model.probability(text, meta))
+    got = QUERIES["op2_quality_classifier"](spark, "/root/testdata/sf0.01").orderBy("doc_id").collect()
+    assert [r.doc_id for r in got] == [r.doc_id for r in rows]
+    assert np.array([[r.p_text, r.p_meta, r.quality] for r in got]) == pytest.approx(expected, abs=1e-6)
+    assert [r.keep for r in got] == (expected[:, 2] >= 0.5).tolist()
+
+
+def test_repeated_ids_and_labels_beyond_the_sample(spark, make_docs, monkeypatch):
+    from wardlens.llm import cotraining
+
+    seen = []
+    monkeypatch.setattr(cotraining, "co_train", lambda text, meta, label, held, pool, **_: seen.append((len(label), pool)) or CoTrained(np.zeros((N_TEXT, 8))))
+    rows = [(i % 50, f"text number {i}", "en", "s", i) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], LABELS)
+    cotraining.fit(make_docs(rows), labels, sample=30)
+    n, pool = seen[0]
+    assert n == 30  # one row of four for each label
+    free = [c.cell_contents for c in pool.__closure__ if hasattr(c.cell_contents, "count")]
+    assert free[0].count() == 20 * 4  # ten labelled ids beyond the sample, ten without a label
+
+
 def test_every_unlabelled_document_takes_part(spark, make_docs, monkeypatch):
     from wardlens.llm import cotraining
 

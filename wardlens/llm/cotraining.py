@@ -9,7 +9,8 @@ document takes part in every round: its features are staged once, and what it ad
 Hessian is summed in Spark for each Newton step. Bins are quantiles over all documents. Afterwards each view is calibrated on labels it has not seen, and the
 calibrated log-odds are combined by weights fitted there, into one probability for every document.
 
-Labels for training are a sample of at most `sample` ids, those with the least hashes. All documents are scored from their whole
+Labels for training are a sample of at most `sample` ids, those with the least hashes; documents with
+other labels count as unlabelled. Of an id that occurs more than once, one row is learnt from. All documents are scored from their whole
 texts. Null metadata is a category of its own, null text counts as empty. Labels that are null or name
 no document are left out; a document labelled twice is good only if all its labels say so. Without both
 kinds of labels nothing is rejected. Repeated rows stay; other columns are passed through unread.
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlens.llm.staging import ship_package, staged
+from wardlens.llm.staging import ship_package, staged, unused
 
 SAMPLE = 8_000
 ROUNDS = 5
@@ -241,17 +242,19 @@ def co_train(
 
 
 def _features(batch: pa.RecordBatch, meta: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
-    text = [text_features((t.as_py() or "").encode()) for t in batch.column("__text")]
-    columns = [[v.as_py() for v in batch.column(f"__meta{i}")] for i in range(len(meta))]
+    at = batch.num_columns - 1 - len(meta)  # the views are the last columns
+    text = [text_features((t.as_py() or "").encode()) for t in batch.column(at)]
+    columns = [[v.as_py() for v in batch.column(at + 1 + i)] for i in range(len(meta))]
     return np.array(text, float).reshape(len(batch), N_TEXT), meta_features(columns).reshape(len(batch), len(meta))
 
 
 def _views(text_col: str, meta: tuple[str, ...], docs: DataFrame) -> list:
     kinds = dict(docs.dtypes)
     size = ("int", "bigint", "smallint", "tinyint", "double", "float")
+    names = unused(docs, "view_text", *(f"view_meta{i}" for i in range(len(meta))))
     return [
-        F.col(text_col).cast("string").alias("__text"),
-        *(F.col(c).cast("double" if kinds[c] in size else "string").alias(f"__meta{i}") for i, c in enumerate(meta)),
+        F.col(text_col).cast("string").alias(names[0]),
+        *(F.col(c).cast("double" if kinds[c] in size else "string").alias(n) for n, c in zip(names[1:], meta)),
     ]
 
 
@@ -272,27 +275,33 @@ def fit(
         .agg(F.min(F.col(label_col).cast("int")).alias("__label"))
     )
     by_hash = [F.xxhash64("__id"), "__id"]
-    picked = known.orderBy(*by_hash).limit(sample)
+    picked = staged(known.orderBy(*by_hash).limit(sample), "quality-labels")
+
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             text, m = _features(batch, meta)
             yield pa.record_batch(
-                [batch.column("__doc"), pa.array(list(text), pa.list_(pa.float64())), pa.array(list(m), pa.list_(pa.int64()))],
+                [batch.column(0), pa.array(list(text), pa.list_(pa.float64())), pa.array(list(m), pa.list_(pa.int64()))],
                 names=["id", "text", "meta"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("__doc"), *_views(text_col, meta, docs))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *_views(text_col, meta, docs))
     rows = staged(rows.mapInArrow(batches, "id long, text array<double>, meta array<bigint>"), "quality-features")
     cuts = rows.agg(
         *(F.percentile_approx(F.col("text")[c], F.array(*map(F.lit, _QUANTILES)), F.lit(10_000)) for c in range(N_TEXT))
     ).first()
     cuts = None if cuts[0] is None else np.array([list(c) for c in cuts])
+    # One row per label, however often its id occurs: at most `sample` rows of fixed width.
     found = (
         rows.join(F.broadcast(picked), F.col("id") == F.col("__id"))
-        .select(F.col("__label").alias("label"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) == 0).alias("held"), "text", "meta")
+        .groupBy("id", F.col("__label").alias("label"))
+        .agg(F.min(F.struct("text", "meta")).alias("least"))
+        .select("label", (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) == 0).alias("held"), "least.text", "least.meta")
         .toArrow()
     )
-    free = staged(rows.join(known, F.col("id") == F.col("__id"), "left_anti").select("text", "meta"), "quality-unlabelled")
+    # Documents whose label is beyond the sample take part as unlabelled ones.
+    free = rows.join(F.broadcast(picked), F.col("id") == F.col("__id"), "left_anti").select("text", "meta")
+    free = staged(free, "quality-unlabelled")
 
     def pool(model: CoTrained, history: list[list[View]], now: list[View]) -> np.ndarray:
         n = 2 + sum((len(v.weights) + 1) * (len(v.weights) + 2) for v in now)
