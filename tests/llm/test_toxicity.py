@@ -3,7 +3,8 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from wardlens.llm.toxicity import OrdinalModel, features_of, fit, grades, score_toxicity
+from wardlens.llm.queries import QUERIES
+from wardlens.llm.toxicity import OrdinalModel, features_of, fit, grades, labelled_sample, score_toxicity
 
 LABELS = "doc_id long, toxic int"
 
@@ -64,3 +65,26 @@ def test_edge_cases(spark, make_docs):
         rows = score_toxicity(docs, spark.createDataFrame(labels, LABELS)).collect()
         assert len(rows) == 6 and not any(r.toxic for r in rows)
     assert score_toxicity(make_docs([]), spark.createDataFrame([(1, 1), (2, 0)], LABELS)).count() == 0
+
+
+def test_query_equals_plain_code(spark):
+    """Features, grades and fit once more over collected rows, without Spark."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    known = {}
+    for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect():
+        if r.toxic is not None and r.doc_id in docs:
+            known[r.doc_id] = max(r.toxic, known.get(r.doc_id, 0))
+    model = fit([set(features_of(docs[i])) for i in known], np.array([known[i] > 0 for i in known]))
+    p = model.probabilities(model.score(list(docs.values())))
+    got = {r.doc_id: r for r in QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.01").collect()}
+    assert set(got) == set(docs)
+    for i, row in zip(docs, p):
+        r = got[i]
+        assert (r.expected_severity, r.p_toxic) == pytest.approx((row @ np.arange(4), 1 - row[0]), abs=1e-6)
+        assert r.toxic == (row[0] < 0.5) and (r.grade == row.argmax() or abs(row[r.grade] - row.max()) < 1e-6)
+
+
+def test_an_id_that_repeats_is_learnt_from_once(spark, make_docs):
+    docs = make_docs([(1, "b a"), (1, "b a"), (1, "c d"), (2, "e f"), (None, "g")])
+    found = labelled_sample(docs, spark.createDataFrame([(1, 1), (2, 0)], LABELS), 10, "doc_id", "text", "doc_id", "toxic")
+    assert sorted(label for label, _ in found) == [0, 1]

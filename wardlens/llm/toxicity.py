@@ -131,9 +131,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, id_col: str
             found = [list(features_of(t.as_py())) for t in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.binary()))], names=["label", "features"])
 
-    # Bounded by the sample, so every task may have all of it.
-    joined = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("labelled_id")).select("label", "text", "doc_id")
-    rows = joined.mapInArrow(batches, "label int, features array<binary>").toArrow()
+    # At most `sample` ids, so every task may have all of them; and one row for each, however often it occurs.
+    joined = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("labelled_id"))
+    one = joined.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = one.select("label", "text").mapInArrow(batches, "label int, features array<binary>").toArrow()
     return [(label, set(features)) for label, features in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist())]
 
 
