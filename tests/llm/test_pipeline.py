@@ -30,7 +30,7 @@ def kept_by_exact(docs):
 
 
 def kept_by_simhash(docs):
-    rows = [(i, plain_fingerprint(t, 5)) for i, t in docs.items()]
+    rows = [(i, plain_fingerprint(t, 4)) for i, t in docs.items()]
     return {i: docs[i] for i in set(plain_groups(rows, 4))}
 
 
@@ -83,6 +83,24 @@ def test_run_applies_them_all(spark, stages):
     assert got == {(r.doc_id, tuple(r.ids)) for r in stages[-1].collect()}
 
 
+def test_empty_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, SF).columns == docs.columns
+        assert stage(spark, docs, SF).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
+
+
+def test_columns_with_the_names_of_helpers(spark):
+    names = ["view_text", "view_meta0", "hit_id", "hit_hash", "own_digest", "kept_id", "gone_id", "several_id", "fp", "doc"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 60")
+    more = docs.selectExpr("*", *(f"'x' AS {n}" for n in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, more, SF)
+        assert got.columns == more.columns
+        assert {r.doc_id for r in got.collect()} == {r.doc_id for r in stage(spark, docs, SF).collect()}
+
+
 def test_five_stages_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "exact dedup", "SimHash near-dedup", "benchmark decontamination", "BPE encoding",

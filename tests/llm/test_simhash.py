@@ -133,3 +133,18 @@ def test_components_of_a_long_chain(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, 1001), (7, 7)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(chain, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000}
+
+
+def test_an_id_with_several_texts_loses_only_the_near_copy(make_docs):
+    text = " ".join(f"word{i}" for i in range(400))
+    clean = " ".join(f"other{i}" for i in range(300))
+    far = " ".join(f"third{i}" for i in range(300))
+    docs = make_docs([(3, text), (5, clean), (5, text + " end"), (7, far), (7, text), (8, clean), (None, text)])
+    got = sorted(((r.doc_id, r.text) for r in drop_near_copies(docs).collect()), key=repr)
+    assert got == sorted([(3, text), (5, clean), (7, far), (None, text)], key=repr)
+
+
+def test_clashing_names(make_docs):
+    docs = make_docs([(1, "a b c d e"), (2, "a b c d e"), (2, "x")]).withColumnsRenamed({"lang": "fp", "source": "gone_id"})
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, "a b c d e"), (2, "x")]

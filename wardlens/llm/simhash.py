@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.llm.components import connected_components
-from wardlens.llm.staging import partitions, ship_package, staged
+from wardlens.llm.staging import partitions, ship_package, staged, unused
 
 SEED = 42
 FANOUT = 8
@@ -63,18 +63,24 @@ def fingerprint(text: bytes, n: int) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (the fingerprint's bits as a signed long) of every row."""
+def fingerprints(
+    docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text", keep: str | None = None
+) -> DataFrame:
+    """doc_id and fp (the fingerprint's bits as a signed long) of every row, and the string column `keep`."""
+    others = [keep] if keep else []
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             texts = batch.column(1)
             out = np.fromiter((fingerprint(t.as_py() or b"", words) for t in texts), np.uint64, len(texts))
-            yield pa.record_batch([batch.column(0), pa.array(out.view(np.int64))], names=["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(out.view(np.int64)), *batch.columns[2:]]
+            yield pa.record_batch(columns, names=["doc_id", "fp", *others])
 
     ship_package(docs.sparkSession)
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return picked.mapInArrow(batches, "doc_id long, fp long")
+    picked = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *others
+    )
+    return picked.mapInArrow(batches, ", ".join(["doc_id long", "fp long", *(f"`{c}` string" for c in others)]))
 
 
 def gray_rank(fp: Column) -> Column:
@@ -263,15 +269,31 @@ def simhash_groups(
 
 
 def drop_near_copies(
-    docs: DataFrame, words: int = 5, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The document with the smallest id of each group of texts at a similarity of 0.8 or more, with all its columns.
+    """The document with the smallest id of each near-duplicate group, with all its columns.
 
-    Rows with a null id stay: they cannot be named. Rows that share the smallest id stay together.
+    Rows leave by id and fingerprint: of an id that carries several texts, only those go that belong to a
+    group with a smaller id. Rows that share the smallest id of a group are one document and stay together.
+    Rows with a null id stay: they cannot be named.
     """
-    from wardlens.llm.near_copies import similar_groups
-
-    groups = similar_groups(docs, words, max_bits, id_col, text_col)
-    gone = groups.filter("doc_id != component_id").select("doc_id").distinct()
-    gone = gone.withColumnRenamed("doc_id", "__gone")
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    groups = staged(simhash_groups(docs, words, max_bits, id_col=id_col, text_col=text_col), "simhash-groups")
+    gone = groups.filter("doc_id != component_id")
+    gone_id, several_id, same_text = unused(docs, "gone_id", "several_id", "same_text")
+    ids = gone.select(F.col("doc_id").alias(gone_id)).distinct()
+    several = groups.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a != b")
+    several = staged(several.select(F.col("doc_id").alias(several_id)), "simhash-several")
+    own_id = F.col(id_col).cast("long")
+    if several.isEmpty():
+        return docs.join(ids, own_id == F.col(gone_id), "left_anti")
+    # Ids with several texts are rare: only their rows meet their fingerprints again, by the text itself.
+    once = ids.join(several, F.col(gone_id) == F.col(several_id), "left_anti")
+    plain = docs.join(several, own_id == F.col(several_id), "left_anti").join(once, own_id == F.col(gone_id), "left_anti")
+    rows = docs.join(several, own_id == F.col(several_id), "left_semi")
+    rows = staged(rows.withColumn(same_text, F.sha2(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")), 256)), "simhash-rows")
+    marks = fingerprints(rows, words, id_col, text_col, keep=same_text)
+    bad = marks.join(gone.select("doc_id", "fp"), ["doc_id", "fp"], "left_semi").select(
+        F.col("doc_id").alias(gone_id), F.col(same_text).alias(several_id)
+    )
+    same = (own_id == F.col(gone_id)) & (F.col(same_text) == F.col(several_id))
+    return plain.unionByName(rows.join(bad.distinct(), same, "left_anti").drop(same_text))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.llm.staging import ship_package, staged
+from wardlens.llm.staging import ship_package, staged, unused
 
 MIN_TILE = 5
 THRESHOLD = 0.5
@@ -259,7 +259,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that no test item covers, with all their columns."""
     pairs = contaminated_pairs(docs, benchmark, id_col=id_col, text_col=text_col, **options)
-    hits = staged(pairs.selectExpr("doc_id AS __hit", "text_hash AS __hash").distinct(), "tiling-hits")
+    hit_id, hit_hash = unused(docs, "hit_id", "hit_hash")
+    hits = pairs.select(F.col("doc_id").alias(hit_id), F.col("text_hash").alias(hit_hash)).distinct()
+    hits = staged(hits, "tiling-hits")
     text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__hit")) & (text_hash == F.col("__hash"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(hit_id)) & (text_hash == F.col(hit_hash))
     return docs.join(hits, same, "left_anti")
