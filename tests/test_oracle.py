@@ -3,12 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from oracle.registry import ORACLE
 from tests.conftest import SMALL
 from tests.oracle_check import connect, difference
 from wardlens.catalog import CATALOG
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
 WITHOUT_ORACLE = {"m1_m4_kmeans", "m3_elbow", "d26_gld_fatores_hospital"}
 
 
@@ -19,12 +18,13 @@ def duck():
 
 def test_only_iterative_queries_lack_an_oracle():
     assert set(CATALOG) - set(ORACLE) == WITHOUT_ORACLE
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) <= set(CATALOG)
+    assert CATALOG.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_oracle(spark, duck, key):
-    assert difference(QUERIES[key](spark, SMALL), duck, ORACLE[key]) is None
+    assert difference(CATALOG[key](spark, SMALL), duck, ORACLE[key]) is None
 
 
 def test_entry(spark):
