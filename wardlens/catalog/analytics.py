@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wardlens.catalog.inputs import Inputs, Query, over
 from wardlens.plans import cluster, gold, questions
 from wardlens.session import cut_lineage
+from wardlens.sources import driver_tables
 
 # The mapped hospitals have 0 to 12 beds, so the size groups are cut there.
 SIZES = [(3, "PEQUENO"), (6, "MEDIO"), (9, "GRANDE")]
@@ -40,6 +41,20 @@ def _assignment(i: Inputs) -> DataFrame:
     return cluster.assignment_check(fits, fits.best_k())
 
 
+def _costs(i: Inputs) -> DataFrame:
+    return cluster.cost_check(_fits(i)[1])
+
+
+def _factors_by_label(i: Inputs) -> DataFrame:
+    """Pressure factors over groups that no fit decides: the labels of the vectors, four of their entries."""
+    vectors = driver_tables.table(i.spark, i.sf_dir, "embeddings")
+    entry = [F.floor(F.col("embedding")[k].cast("double") * 1000).cast("decimal(18,2)") for k in range(4)]
+    members = vectors.select(
+        F.col("vec_id").cast("string").alias("co_cnes"), "label", *[e.alias(c) for e, c in zip(entry, cluster.FACTORS.values())]
+    )
+    return cluster.pressure_factors(members, "label")
+
+
 def _factors(i: Inputs) -> DataFrame:
     features, fits = _fits(i)
     return cluster.pressure_factors(features.join(fits.assign(fits.best_k()), "co_cnes"), "cluster")
@@ -79,10 +94,12 @@ ANALYTICS: dict[str, Query] = {
     "m1_m4_kmeans": over(_clusters),
     "m2_scaled_features": over(lambda i: cluster.scaled_columns(cluster.scaled_features(i.features))),
     "m3_elbow": over(_elbow),
+    "m3_cost_check": over(_costs),
     "m4_assignment_check": over(_assignment),
     "m5_zscores_by_size": over(lambda i: cluster.pressure_factors(_by_size(i), "porte")),
     "m6_size_groups": over(_size_groups),
     "d26_gld_fatores_hospital": over(_factors),
+    "d26_factors_by_label": over(_factors_by_label),
     "x20_request_body": over(_bodies),
     "x21_answer_text": over(_answers),
     "x22_prompts": over(lambda i: _prompts(i).select("conv_id", "turn", "prompt")),

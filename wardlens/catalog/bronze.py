@@ -16,7 +16,9 @@ from wardlens.plans import gold, pipeline, reports, silver
 from wardlens.session import shared_path
 from wardlens.sources import driver_tables, tables
 from wardlens.sources.delimited import Load, read_delimited
-from wardlens.sources.report import MONTH_NAMES, read_report
+from wardlens.sources.bronze import SOURCES
+from wardlens.sources.bronze import load as load_bronze
+from wardlens.sources.report import MONTH_NAMES, read_month_rows, read_report
 from wardlens.sources.schemas import ADMISSIONS, BEDS, DISEASE_CODES
 from wardlens.sources.transcode import transcode_files
 from wardlens.streaming.ingest import ingest_table
@@ -70,6 +72,19 @@ def _report_files(i: Inputs, wide: DataFrame) -> str:
     return path
 
 
+def _report_months(i: Inputs) -> DataFrame:
+    """Two reports whose windows overlap; in the older one the shared months are not final yet."""
+    wide = i.stays_wide
+    months = [c for c in wide.columns if c.startswith("m_")]
+    early, late = months[:60], months[36:]
+    draft = [F.concat(c, F.lit("9")).alias(c) if c in late else F.col(c) for c in early]
+    paths = [
+        _report_files(i, part)
+        for part in (wide.select("estab_cidade", *draft, "total"), wide.select("estab_cidade", *late, "total"))
+    ]
+    return silver.patient_days(read_month_rows(i.spark, paths).good_by_file)
+
+
 def _report(i: Inputs) -> DataFrame:
     return silver.patient_days(read_report(i.spark, _report_files(i, i.stays_wide)).good)
 
@@ -81,6 +96,14 @@ def _glob(i: Inputs) -> DataFrame:
     return reports.bronze_volume(load.good)
 
 
+def _mapped_names(i: Inputs) -> DataFrame:
+    """A registry whose columns stand in another order, matched by the header of each file."""
+    full = _full_layout(i.beds_raw, BEDS)
+    turned = full.select(*reversed(full.columns))
+    load = read_delimited(i.spark, _beds_files(i, turned), BEDS, names="map")
+    return silver.beds(load.good)
+
+
 def _short_rows(i: Inputs) -> DataFrame:
     """Files that end after the adult intensive-care columns."""
     kept = [f.name for f in BEDS][: BEDS.fieldNames().index("uti_adulto_sus") + 1]
@@ -124,6 +147,51 @@ def _load_report(i: Inputs) -> DataFrame:
     ).withColumn("na_tabela", i.spark.table(table).agg(F.count("*")).scalar())
 
 
+def _rejected_rows(i: Inputs) -> DataFrame:
+    """The lines a load has turned down, taken apart again from the table that keeps them."""
+    table = f"{tables.scratch_database(i.spark)}.brz_cnes_leitos_raw"
+    try:
+        tables.append_load(_dirty_beds(i), table, reject_limit=0)
+    except tables.RejectLimitExceeded:
+        field = F.split("linha", ";")
+        return tables.rejected_rows(i.spark, table).select(
+            field[0].alias("comp"), field[6].alias("cnes"), field[22].alias("leitos_sus"), "motivo"
+        )
+    raise AssertionError("the dirty registry has rejects")
+
+
+def _load_once(i: Inputs) -> DataFrame:
+    """The same files loaded twice: the second load finds nothing new."""
+    database, path = tables.scratch_database(i.spark), f"{_admission_files(i)}/*.csv"
+    for _ in range(2):
+        load_bronze(i.spark, database, "admissions", path)
+    return reports.bronze_volume(i.spark.table(f"{database}.{SOURCES['admissions'].table}"))
+
+
+def _replace_file(i: Inputs) -> DataFrame:
+    """Files of two spans, one of them a draft at first; loading its final version leaves the other alone."""
+    database, late = tables.scratch_database(i.spark), F.col("comp") >= "199901"
+    full = _full_layout(i.beds_raw, BEDS).repartition(1)
+    early = _beds_files(i, full.where(~late))
+    draft = _beds_files(i, full.where(late).withColumn("leitos_sus", F.col("leitos_sus") + 100))
+    final = _beds_files(i, full.where(late))
+    # A file is known by its name: the final one takes the draft's.
+    names = [sorted(tables.listing(i.spark, f"{p}/*.csv").select("arquivo", "caminho").collect()) for p in (draft, final)]
+    for old, new in zip(*names):
+        _rename(i, new.caminho, new.caminho.rsplit("/", 1)[0] + "/" + old.arquivo)
+    for path in (early, draft):
+        load_bronze(i.spark, database, "beds", f"{path}/*.csv")
+    load_bronze(i.spark, database, "beds", f"{final}/*.csv", again=True)
+    return silver.beds(i.spark.table(f"{database}.{SOURCES['beds'].table}"))
+
+
+def _rename(i: Inputs, path: str, to: str) -> None:
+    jvm = i.spark.sparkContext._jvm
+    old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    if not old.getFileSystem(i.spark.sparkContext._jsc.hadoopConfiguration()).rename(old, new):
+        raise OSError(f"{path} was not renamed")
+
+
 def _append(i: Inputs) -> DataFrame:
     """Two files into one table: the later years first, then the earlier ones."""
     table = f"{tables.scratch_database(i.spark)}.brz_cnes_leitos_raw"
@@ -194,8 +262,13 @@ def _monthly_on_tables(i: Inputs) -> DataFrame:
 
 
 def _transcode(i: Inputs) -> DataFrame:
-    target = shared_path(i.spark, "utf8")
-    status = transcode_files(i.spark, [_beds_files(i)], target)
+    """One file cannot be read; it is reported and the others are written."""
+    target, folder = shared_path(i.spark, "utf8"), _beds_files(i)
+    broken = shared_path(i.spark, "ruim")
+    i.spark.range(1).selectExpr("'not compressed' AS value").coalesce(1).write.text(broken)
+    for file in tables.listing(i.spark, f"{broken}/*.txt").collect():
+        _rename(i, file.caminho, f"{folder}/{file.arquivo}.csv.gz")
+    status = transcode_files(i.spark, [folder], target, pattern="*.csv*")
     failed = status.where("situacao <> 'OK'").agg(F.count("*")).scalar()
     load = read_delimited(i.spark, f"{target}/000/*", BEDS, sep=",", charset="UTF-8")
     return (
@@ -219,6 +292,21 @@ def _stream(i: Inputs) -> DataFrame:
     return reports.bronze_volume(i.spark.table(table))
 
 
+def _stream_with_bad_files(i: Inputs) -> DataFrame:
+    """Three drops of files, the second with nothing but over-wide keys: it is put aside, the rest counts."""
+    folder, checkpoint = (shared_path(i.spark, n) for n in ("chegada", "controle"))
+    database = tables.scratch_database(i.spark)
+    rows = _full_layout(i.admissions_raw, ADMISSIONS)
+    late = F.col("ano_cmpt") >= "1999"
+    bad = rows.where("ano_cmpt = '1997'").withColumn("cnes", F.lpad("cnes", 16, "0"))
+    table = None
+    for part in (rows.where(late), bad, rows.where(~late)):
+        part.write.mode("append").csv(folder, header=True, escape='"')
+        table = ingest_table(i.spark, folder, database, checkpoint, reject_limit=0, quarantine=True)
+    admissions = silver.admissions(i.spark.table(table))
+    return gold.hospital_features(i.occupancy, admissions, i.beds)
+
+
 def _built(i: Inputs) -> str:
     """The pipeline over bronze tables made of the mapped inputs."""
     database = tables.scratch_database(i.spark)
@@ -239,13 +327,18 @@ def _built(i: Inputs) -> str:
 
 BRONZE: dict[str, Query] = {
     "s1_read_delimited": over(lambda i: silver.beds(_beds_load(i).good)),
+    "s1_header_map": over(_mapped_names),
     "s2_read_report": over(_report),
+    "s2_report_months": over(_report_months),
     "s3_read_glob": over(_glob),
+    "s3_load_once": over(_load_once),
     "s4_pad_short_rows": over(_short_rows),
     "s5_rejects": over(_rejects),
     "s6_load_report": over(_load_report),
+    "s6_rejected_rows": over(_rejected_rows),
     "s7_append_load": over(_append),
     "s7_reload": over(_reload),
+    "s7_replace_file": over(_replace_file),
     "s7_reload_over_limit": over(_reload_over_limit),
     "s9_materialize": over(_overwrite),
     "s10_view_late_binding": over(_late_binding),
@@ -254,6 +347,7 @@ BRONZE: dict[str, Query] = {
     "s13_hospital_layout": over(_hospital_layout),
     "s13_monthly_on_tables": over(_monthly_on_tables),
     "g1_incremental_ingest": over(_stream),
+    "g1_quarantine": over(_stream_with_bad_files),
     "pipeline_features_view": over(
         lambda i: i.spark.table(f"{_built(i)}.gld_features_hospital")
     ),

@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlens.operators.peers import dominant_factor, peer_zscores
@@ -115,14 +115,7 @@ def assign_clusters(scaled: DataFrame, k: int) -> DataFrame:
 def assignment_check(fits: Elbow, k: int) -> DataFrame:
     """Hospitals assigned, and how many of them stand nearer to another centre than their own."""
     values = vector_to_array("features")
-    distances = [
-        F.aggregate(
-            F.zip_with(values, F.array(*[F.lit(x) for x in c]), lambda a, b: (a - b) * (a - b)),
-            F.lit(0.0),
-            lambda done, d: done + d,
-        )
-        for c in fits.centres(k)
-    ]
+    distances = [_squared_distance(values, c) for c in fits.centres(k)]
     own = F.element_at(F.array(*distances), F.col("cluster") + 1)
     joined = fits.scaled.join(fits.assign(k), "co_cnes")
     return joined.agg(
@@ -132,6 +125,36 @@ def assignment_check(fits: Elbow, k: int) -> DataFrame:
     )
 
 
+def _squared_distance(values: Column, centre: list[float]) -> Column:
+    """Of a vector column to a fixed point."""
+    return F.aggregate(
+        F.zip_with(values, F.array(*[F.lit(x) for x in centre]), lambda a, b: (a - b) * (a - b)),
+        F.lit(0.0),
+        lambda done, d: done + d,
+    )
+
+
+def cost_check(fits: Elbow, margin: float = 0.05) -> DataFrame:
+    """Whether the costs are what the stored centres give, and fall as K grows.
+
+    The cost of every K, the sum of squared distances to the nearest centre, is taken again in one pass
+    over the matrix. Local optima may rise a little with K; a rise beyond `margin` of the cost counts.
+    """
+    values = vector_to_array("features")
+    nearest = {k: F.least(*[_squared_distance(values, c) for c in fits.centres(k)]) for k in fits.models}
+    again = fits.scaled.agg(
+        F.count("*").alias("hospitais"), *[F.sum(d).alias(f"k{k}") for k, d in nearest.items()]
+    ).withColumn("k", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(c).alias("custo"), F.col(f"k{k}").alias("de_novo")) for k, c in fits.costs])))
+    order = Window.partitionBy("hospitais").orderBy("k.k")  # a row for each K
+    rises = again.withColumn("antes", F.lag("k.custo").over(order))
+    off = F.abs(F.col("k.custo") - F.col("k.de_novo")) > 1e-9 * (1 + F.col("k.custo"))
+    return rises.groupBy("hospitais").agg(
+        F.count("*").alias("fits"),
+        F.count_if(off).alias("custo_diferente"),
+        F.count_if(F.col("k.custo") > F.col("antes") * (1 + margin)).alias("custo_sobe"),
+    )
+
+
 def size_group(beds: Column, sizes: list[tuple[int, str]] = SIZES, largest: str = LARGEST) -> Column:
     """Plan without K-Means: groups by number of beds, NULL when the number is unknown."""
     chain = F.when(beds.isNull(), F.lit(None))

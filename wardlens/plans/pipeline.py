@@ -121,6 +121,18 @@ def check_reports(spark: SparkSession, database: str) -> dict[str, Callable[[],
         ),
         "Admissions kept, by month": lambda: reports.admissions_by_month(internacao),
         "Patient days of both sources": lambda: reports.reconciliation(internacao, diasperm),
+        "Disease dictionary, codes and chapters": lambda: reports.dictionary_counts(
+            spark.table(bronze["codes"]), spark.table(bronze["chapters"])
+        ),
+        "Admissions, first rows": lambda: reports.admissions_sample(internacao),
+        "Admissions by complexity": lambda: reports.admissions_by_complexity(internacao),
+        "Beds, first rows": lambda: reports.beds_sample(leitos),
+        "Beds by kind of unit": lambda: reports.beds_by_unit_type(leitos),
+        "Patient days, first rows": lambda: reports.patient_days_sample(diasperm),
+        "Patient days by month": lambda: reports.patient_days_by_month(diasperm),
+        "Occupancy, first rows": lambda: reports.occupancy_sample(ocupacao),
+        "Occupancy by kind of unit": lambda: reports.occupancy_by_unit_type(ocupacao),
+        "Highest rates now": lambda: reports.highest_now(ocupacao),
         "Hospitals per light now": lambda: reports.light_bands(ocupacao),
         "Fullest hospitals now": lambda: reports.top_critical(ocupacao),
         "Hospital features, first rows": lambda: reports.features_sample(

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlens.functions.decode import ATTENTION, CRITICAL
+
 # What the columns of the views mean, in the words the prompt gives to the model.
 MEANINGS = {
     "co_cnes": "hospital code, 7 digits with leading zeros",
@@ -15,7 +17,7 @@ MEANINGS = {
     "paciente_dia": "patient days of the month",
     "leito_dia": "available bed days of the month",
     "taxa_ocupacao": "occupancy in percent, may exceed 100, NULL without beds",
-    "semaforo": "light: CRITICO above 95 %, ATENCAO from 85 %, else OK",
+    "semaforo": f"light: CRITICO above {CRITICAL} %, ATENCAO from {ATTENTION} %, else OK",
     "var_vs_mes_anterior": "percentage points against the hospital's previous month",
     "media_movel_3m": "mean occupancy of its last three months, in percent",
     "ranking_no_mes": "place within the month, 1 is the fullest",

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlens.functions import casts, decode, keys
 from wardlens.functions.rounding import percent_sql
 from wardlens.operators.reshape import month_columns, unpivot_months
+from wardlens.sources.delimited import FILE
 
 CITY = "355030"
 
@@ -67,6 +68,8 @@ def patient_days(wide: DataFrame) -> DataFrame:
     Label handling and the row filter run once per wide row, before the unpivot multiplies it.
     """
     label = F.col("estab_cidade")
+    if "celulas" in wide.columns:
+        return _patient_days_of_rows(wide)
     hospitals = wide.where(keys.starts_with_digit(label)).select(
         keys.pad_key(keys.leading_code(label)).alias("co_cnes"),
         keys.name_after_code(label).alias("no_estabelecimento"),
@@ -81,6 +84,30 @@ def patient_days(wide: DataFrame) -> DataFrame:
     )
 
 
+def _patient_days_of_rows(report: DataFrame) -> DataFrame:
+    """The same from lines that carry their months as an array.
+
+    Where the windows of several files overlap, the report that ends last counts (of equal ends the last
+    file name), whatever its cell says: reports are revised, not added up. A month of a label has as
+    many rows as there are reports that show it, so the window over them stays small.
+    """
+    label = F.col("estab_cidade")
+    cells = report.where(keys.starts_with_digit(label)).select(
+        "estab_cidade",
+        F.struct(F.array_max("competencias"), FILE).alias("relatorio"),
+        F.explode(F.arrays_zip("competencias", "celulas")).alias("c"),
+    )
+    cells = cells.select("estab_cidade", "relatorio", "c.competencias", "c.celulas")
+    newest = F.max("relatorio").over(Window.partitionBy("estab_cidade", "competencias"))
+    valid = cells.withColumn("ultimo", newest).where((F.col("relatorio") == F.col("ultimo")) & (F.col("celulas") != "-"))
+    return valid.select(
+        keys.pad_key(keys.leading_code(label)).alias("co_cnes"),
+        keys.name_after_code(label).alias("no_estabelecimento"),
+        F.col("competencias").alias("competencia"),
+        casts.strict_number(F.col("celulas")).alias("dias_perm"),
+    )
+
+
 def occupancy(stays: DataFrame, registry: DataFrame, padded_keys: bool = False) -> DataFrame:
     """`slv_ocupacao`: patient days over bed days by hospital and month.
 

@@ -36,6 +36,11 @@ def from_windows(value: Column) -> Column:
     return F.translate(value, _LATIN1, _CP1252)
 
 
+def file_name() -> Column:
+    """Name of the file a row comes from. The reader gives it as part of a URL."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def options(sep: str, charset: str, header: bool) -> dict[str, str]:
     return {
         "sep": sep,
@@ -60,7 +65,7 @@ def as_rows(lines: DataFrame, schema: T.StructType, sep: str, charset: str) -> D
     rows = lines.select(
         *[decode(F.col(f.name)).alias(f.name) for f in schema],
         decode(F.col(RAW)).alias(RAW),
-        F.col("_metadata.file_name").alias(FILE),
+        file_name().alias(FILE),
     )
     return checked(rows, schema, sep)
 
@@ -106,20 +111,39 @@ class Load:
     rows: DataFrame
     schema: T.StructType
 
-    @property
-    def good(self) -> DataFrame:
+    def _typed(self, *more: str) -> DataFrame:
         typed = [
             F.col(f.name)
-            if isinstance(f.dataType, T.StringType)
+            if isinstance(f.dataType, (T.StringType, T.ArrayType))
             else F.col(f.name).try_cast(f.dataType.simpleString()).alias(f.name)
             for f in self.schema
         ]
-        return self.rows.where(F.col(REASON).isNull()).select(*typed)
+        return self.rows.where(F.col(REASON).isNull()).select(*typed, *more)
+
+    @property
+    def good(self) -> DataFrame:
+        return self._typed()
+
+    @property
+    def good_by_file(self) -> DataFrame:
+        """The good rows and, last, the name of the file each came from."""
+        return self._typed(FILE)
 
     @property
     def rejected(self) -> DataFrame:
         return self.rows.where(F.col(REASON).isNotNull())
 
+    def rejected_lines(self, sep: str = ";") -> DataFrame:
+        """Rejected rows as text: file, line and reason.
+
+        The reader keeps the raw line only of rows with another number of fields; others are written
+        out again from their fields.
+        """
+        again = F.to_csv(F.struct(*[F.col(f.name) for f in self.schema]), {"sep": sep, "escape": '"'})
+        return self.rejected.select(
+            F.col(FILE).alias("arquivo"), F.coalesce(F.col(RAW), again).alias("linha"), F.col(REASON).alias("motivo")
+        )
+
     @property
     def audit(self) -> DataFrame:
         """Load report: per file, rows read, rejected, and kept without surplus fields."""
@@ -138,9 +162,41 @@ def read_delimited(
     sep: str = ";",
     charset: str = WINDOWS,
     header: bool = True,
+    names: str = "skip",
 ) -> Load:
-    """Files, folders or wildcards of one layout. Fields are matched by position."""
-    lines = (
-        spark.read.schema(raw_schema(schema)).options(**options(sep, charset, header)).csv(path)
-    )
-    return Load(as_rows(lines, schema, sep, charset), schema)
+    """Files, folders or wildcards of one layout.
+
+    `names` says what a file's header line is for: "skip" it and match fields by position, as the
+    source does; "check" that it names the layout's columns in their order, else the load fails; or
+    "map" fields by it, file by file, in any order. Names are compared without regard to case. Mapped
+    files may lack columns, which stay NULL, and have others, which count as surplus; a file that names
+    none of the layout's columns fails. Mapped fields cannot hold line breaks.
+    """
+    if names == "map":
+        return _read_by_name(spark, path, schema, sep, charset)
+    if names not in ("skip", "check"):
+        raise ValueError(f"names is skip, check or map, not {names}")
+    reader = spark.read.schema(raw_schema(schema)).options(**options(sep, charset, header))
+    if names == "check":
+        reader = reader.option("enforceSchema", "false")
+    return Load(as_rows(reader.csv(path), schema, sep, charset), schema)
+
+
+def _read_by_name(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str, charset: str
+) -> Load:
+    from wardlens.sources.lines import FIELDS, LINE, NAMES, demand, lines_under_headers
+
+    lines, headers = lines_under_headers(spark, path, 1, sep, charset)
+    declared = F.array(*[F.lit(f.name.lower()) for f in schema])
+    demand(headers, F.arrays_overlap(NAMES, declared), "the header names no column of the layout")
+
+    def field(name: str) -> Column:
+        at = F.array_position(NAMES, name.lower()).cast("int")
+        return F.when(at > 0, F.get(FIELDS, at - 1)).alias(name)
+
+    rows = lines.select(*[field(f.name) for f in schema], F.col(LINE).alias(RAW), FILE, FIELDS, NAMES)
+    unknown = F.size(F.array_except(NAMES, declared)) > 0
+    surplus = unknown | (F.size(FIELDS) > F.size(NAMES))
+    checks = {REASON: reject_reason(schema), SURPLUS: surplus}
+    return Load(rows.withColumns(checks).drop(FIELDS, NAMES), schema)

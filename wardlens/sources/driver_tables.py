@@ -49,19 +49,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items dealt by order, at every size alike, so that the plans on top are the same.
-
-    A file of one row group would otherwise keep every later step in one task and one stage.
-    """
-    line = table(spark, sf_dir, "lineitem")
-    parts = max(
-        spark.sparkContext.defaultParallelism,
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-    )
-    return line.repartition(parts, "l_orderkey")
-
-
 def _day(value: Column) -> Column:
     return F.date_format(value, "yyyyMMdd")
 
@@ -77,7 +64,7 @@ def _city(hospital: Column) -> Column:
 
 def admissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 used columns of the admissions layout, all text."""
-    line = line_items(spark, sf_dir)
+    line = table(spark, sf_dir, "lineitem")
     order, part, hospital, number = (
         F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     )
@@ -113,11 +100,15 @@ def admissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def beds_raw(
     spark: SparkSession, sf_dir: str, first: str = FIRST_MONTH, months: int = MONTHS, padded: bool = True
 ) -> DataFrame:
-    """Bed registry: one row per hospital and month; some months are filed under another city."""
+    """Bed registry: one row per hospital and month; some months are filed under another city.
+
+    Some hospitals change their name, some lose it.
+    """
     key = F.col("s_suppkey")
     index = F.substring("comp", 1, 4).cast("int") * 12 + F.substring("comp", 5, 2).cast("int")
     elsewhere = (key % 4 == 0) | ((key + index) % 17 == 0)
     renamed = (key % 10 == 3) & (F.col("comp") >= "199901")
+    nameless = (key % 10 == 7) & (F.col("comp") >= "200001")
     hospitals = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     labels = F.split(F.lit(" ".join(periods(first, months))), " ")
     code = key.cast("string")
@@ -127,7 +118,7 @@ def beds_raw(
         F.when(elsewhere, OTHER_CITY).otherwise(CITY).alias("co_ibge"),
         (F.lpad(code, 7, "0") if padded else code).alias("cnes"),
         F.when(renamed, F.concat("s_name", F.lit("B")))
-        .otherwise(F.col("s_name"))
+        .when(~nameless, F.col("s_name"))
         .alias("nome_estabelecimento"),
         F.concat(F.lit("Razao "), "s_name").alias("razao_social"),
         F.when(key % 2 == 0, "M").otherwise("E").alias("tp_gestao"),
@@ -154,30 +145,35 @@ def stays_wide(
 ) -> DataFrame:
     """Wide monthly report with its Total row, '-' cells, empty cells and one code-only label.
 
-    The Total row rides along as a second key of every line item: partial aggregation folds it
-    to one row per task and month before the shuffle, and the table is scanned once.
+    Some hospitals report no days at all. Line items are folded to hospital and month first; the Total
+    row is made of those sums, and a month outside the report, which the pivot would drop, fails there.
     """
     key, month = F.col("chave"), F.col("mes")
     months_shown = periods(first, months)
-    span = table(spark, sf_dir, "lineitem").agg(
-        *[F.date_format(f("l_shipdate"), "yyyyMM") for f in (F.min, F.max)]
-    ).first()
-    # The pivot would drop a month without a column.
-    if span[0] is not None and not months_shown[0] <= span[0] <= span[1] <= months_shown[-1]:
-        raise ValueError(f"ship dates from {span[0]} to {span[1]} exceed the report's months")
-    stays = line_items(spark, sf_dir).select(
-        F.explode(F.array("l_suppkey", F.lit(None).cast("bigint"))).alias("chave"),
-        (F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("mes"),
-        F.col("l_quantity").cast("bigint").alias("dias"),
+    span = [int(p[:4]) * 12 + int(p[4:]) for p in (months_shown[0], months_shown[-1])]
+    outside = F.raise_error(F.lit("a ship date exceeds the report's months")).cast("int")
+    stays = (
+        table(spark, sf_dir, "lineitem")
+        .select(
+            "l_suppkey",
+            (F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("mes"),
+            F.col("l_quantity").cast("bigint").alias("dias"),
+        )
+        .groupBy("l_suppkey", "mes")
+        .agg(F.sum("dias").alias("dias"))
+        .withColumn("mes", F.when(month.between(*span), month).otherwise(outside))
+    )
+    both = stays.select(
+        F.explode(F.array("l_suppkey", F.lit(None).cast("bigint"))).alias("chave"), "mes", "dias"
     )
     # Numeric until after the pivot, which then aggregates in hash maps: -1 stands for '-'.
     cell = (
         F.when((key + month) % 23 == 0, F.lit(None))
-        .when((key + month) % 11 == 0, -1)
+        .when(((key + month) % 11 == 0) | (key % 10 == 5), -1)
         .otherwise(F.col("dias"))
     )
     cells = (
-        stays.groupBy("chave", "mes")
+        both.groupBy("chave", "mes")
         .agg(F.sum("dias").alias("dias"))
         .select("chave", "mes", cell.alias("celula"))
     )

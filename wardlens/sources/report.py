@@ -8,24 +8,20 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlens.sources.delimited import FILE, RAW, WINDOWS, Load, checked, from_windows, raw_schema
-from wardlens.sources.schemas import month_report
+from wardlens.sources.delimited import FILE, RAW, REASON, SURPLUS, WINDOWS, Load, checked, file_name, from_windows, raw_schema
+from wardlens.sources.lines import FIELDS, LINE, NAMES, PATH, UnknownLayout, demand, lines_under_headers
+from wardlens.sources.schemas import MONTH_ROWS, WIDTH, month_report
 
-PATH = "_caminho"
 # Month abbreviations of the published reports.
 MONTH_NAMES = "jan fev mar abr mai jun jul ago set out nov dez".split()
 _YEAR_FIRST = re.compile(r"(\d{4})\W*(\d{2}|[a-z]{3})[a-z]*")
 _YEAR_LAST = re.compile(r"(\d{2}|[a-z]{3})[a-z]*\W*(\d{4})")
 
 
-class UnknownLayout(ValueError):
-    """A report whose column names are not a label, months and perhaps a total."""
-
-
 def month_of(name: str) -> str | None:
     """YYYYMM of a column name such as 2024/Out, Out/2024, 2024-10 or 202410; else None."""
     name = name.strip().lower()
@@ -39,6 +35,21 @@ def month_of(name: str) -> str | None:
     return f"{year}{number:02d}" if 1 <= number <= 12 else None
 
 
+def month_column(name: Column) -> Column:
+    """`month_of` as a column expression over lower-case names."""
+    year_first, year_last = _YEAR_FIRST.pattern, _YEAR_LAST.pattern
+
+    def either(first: int, last: int) -> Column:
+        return F.when(name.rlike(f"^{year_first}$"), F.regexp_extract(name, f"^{year_first}$", first)).when(
+            name.rlike(f"^{year_last}$"), F.regexp_extract(name, f"^{year_last}$", last)
+        )
+
+    month = either(2, 1)
+    named = F.array_position(F.array(*[F.lit(m) for m in MONTH_NAMES]), month)
+    number = F.when(named > 0, named.cast("int")).otherwise(month.try_cast("int"))
+    return F.when(number.between(1, 12), F.concat(either(1, 2), F.lpad(number.cast("string"), 2, "0")))
+
+
 def month_layout(header: str, sep: str = ";") -> T.StructType:
     """The layout that a report's header line declares."""
     names = [n.strip().strip('"') for n in header.split(sep)]
@@ -69,7 +80,7 @@ def numbered_lines(
     lines = spark.read.text(path).select(
         (from_windows(decoded) if charset == WINDOWS else decoded).alias("linha"),
         F.col("_metadata.file_path").alias(PATH),
-        F.col("_metadata.file_name").alias(FILE),
+        file_name().alias(FILE),
         F.col("_metadata.file_block_start").alias("inicio"),
         F.monotonically_increasing_id().alias("posicao"),
     )
@@ -96,6 +107,44 @@ def _parsed(lines: DataFrame, schema: T.StructType, sep: str) -> DataFrame:
     return checked(rows, schema, sep)
 
 
+def read_month_rows(
+    spark: SparkSession, path: str | list[str], skip: int = 4, sep: str = ";", charset: str = WINDOWS
+) -> Load:
+    """Reports of any windows of months: a line is its label, its months and their cells, and its total.
+
+    The months come from the file's own header, joined to its lines by file. The plan is the same for
+    one month or a hundred, and for one window or one per file.
+    """
+    lines, headers = lines_under_headers(spark, path, skip, sep, charset)
+    has_total = (F.size(NAMES) > 1) & (F.get(NAMES, F.size(NAMES) - 1) == "total")
+    count = F.greatest(F.size(NAMES) - 1 - has_total.cast("int"), F.lit(0))
+    months = F.transform(F.slice(NAMES, 2, count), month_column)
+    sound = (F.size(months) > 0) & F.forall(months, lambda m: m.isNotNull())
+    demand(headers, sound & (F.size(F.array_distinct(months)) == F.size(months)), "not a label, different months and a total")
+    lines = lines.withColumns(
+        {
+            "competencias": months,
+            "celulas": F.slice(FIELDS, 2, count),
+            "total": F.when(has_total, F.get(FIELDS, count + 1)),
+        }
+    )
+    label_width, cell_width = MONTH_ROWS["estab_cidade"].metadata[WIDTH], MONTH_ROWS["celulas"].metadata[WIDTH]
+    # A short line lacks its last cells.
+    cells = F.transform("competencias", lambda _, k: F.get("celulas", k))
+    rows = lines.select(
+        F.get(FIELDS, F.lit(0)).alias("estab_cidade"), "competencias", cells.alias("celulas"), "total",
+        F.col(LINE).alias(RAW), FILE, (F.size(FIELDS) > F.size(NAMES)).alias(SURPLUS),
+    )
+    wide = F.filter(F.arrays_zip("competencias", "celulas"), lambda c: F.length(c["celulas"]) > cell_width)
+    reason = F.when(
+        F.length("estab_cidade") > label_width, F.lit(f"estab_cidade: mais de {label_width} caracteres")
+    ).when(
+        F.size(wide) > 0,
+        F.concat(F.lit("m_"), F.get(wide, F.lit(0))["competencias"], F.lit(f": mais de {cell_width} caracteres")),
+    )
+    return Load(rows.withColumn(REASON, reason), MONTH_ROWS)
+
+
 def read_report(
     spark: SparkSession,
     path: str,

@@ -31,6 +31,17 @@ def month_report(months: list[str], total: bool = True) -> T.StructType:
     return T.StructType([text("estab_cidade", 300), *cells, *([text("total", 20)] if total else [])])
 
 
+#: A tabulation line with the months of its own file's header.
+MONTH_ROWS = T.StructType(
+    [
+        text("estab_cidade", 300),
+        T.StructField("competencias", T.ArrayType(T.StringType())),
+        T.StructField("celulas", T.ArrayType(T.StringType()), True, {WIDTH: 20}),
+        text("total", 20),
+    ]
+)
+
+
 def stay_report(first: str = "202410", months: int = 20) -> T.StructType:
     """A declared window of months, for reports whose header does not name them."""
     return month_report(periods(first, months))

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlens.sources.bronze import SOURCES
-from wardlens.sources.delimited import Load, as_rows, options, raw_schema
-from wardlens.sources.tables import RejectLimitExceeded, loaded, record_load
+from wardlens.sources.delimited import FILE, RAW, REASON, Load, as_rows, options, raw_schema
+from wardlens.sources.tables import RejectLimitExceeded, loaded, put_files, record_load, record_rejects
 from wardlens.session import remove_path, shared_path
 
-BATCH = "_lote"
 # Files are told apart by name alone, however old: the source's default would drop a file whose
 # modification time lies a week before the newest one it has seen.
 ANY_AGE = "36500d"
@@ -65,6 +64,18 @@ def ingested(spark: SparkSession, schema: T.StructType, target: str) -> Load:
     return Load(spark.read.parquet(target), schema)
 
 
+def quarantine_table(table: str) -> str:
+    return f"{table}_quarentena"
+
+
+def keep_aside(bad: Load, table: str, run: str, sep: str) -> None:
+    """All lines of files over their limit: file, line, the reason if the line has one, and the load."""
+    fields = F.to_csv(F.struct(*[F.col(f.name) for f in bad.schema]), {"sep": sep, "escape": '"'})
+    bad.rows.select(
+        F.col(FILE).alias("arquivo"), F.coalesce(F.col(RAW), fields).alias("linha"), F.col(REASON).alias("motivo"), F.lit(run).alias("carga")
+    ).write.mode("append").partitionBy("carga").saveAsTable(table)
+
+
 def ingest_table(
     spark: SparkSession,
     folder: str,
@@ -73,21 +84,23 @@ def ingest_table(
     source: str = "admissions",
     files_per_batch: int = 1000,
     reject_limit: int | None = None,
+    quarantine: bool = False,
 ) -> str:
     """Load files not seen before into a source's bronze table and its load report, then stop.
 
     A batch of files behaves as one load: over the reject limit nothing of it is added, it is
     reported as failed, and the run stops with the error; the next run takes up the same files.
-    A batch's rows are one partition of the table, named after the checkpoint and the batch, so
-    that a batch run twice after a failure replaces itself. Returns the table's name.
+    With `quarantine` the limit is each file's own: a file over it is reported as failed, all its lines
+    are kept in the table `quarantine_table` names, and the others are loaded, now and in later
+    runs. It is taken up again when it comes under another name.
+
+    The table holds a partition for each file, as `load_files` writes it: loads and streams share it,
+    and a batch run twice after a failure replaces its own rows. Returns the table's name.
     """
     spec = SOURCES[source]
     table = f"{database}.{spec.table}"
     limit = spec.reject_limit if reject_limit is None else reject_limit
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
-    if spark.catalog.tableExists(table) and BATCH not in spark.table(table).columns:
-        raise ValueError(f"{table} was not created by a stream; ingest into a database of its own")
-
     def add(rows: DataFrame, number: int) -> None:
         session = rows.sparkSession
         name = f"{stream}-{number}"
@@ -95,21 +108,26 @@ def ingest_table(
         try:
             rows.write.parquet(stage)
             staged = Load(session.read.schema(rows.schema).parquet(stage), spec.schema)
-            rejected = staged.rejected.count()
-            if rejected <= limit:
-                if session.catalog.tableExists(table):
-                    session.sql(
-                        f"insert overwrite table {table} partition ({BATCH} = '{name}') select * from {{good}}",
-                        good=staged.good,
-                    )
-                else:
-                    staged.good.withColumn(BATCH, F.lit(name)).write.partitionBy(BATCH).saveAsTable(table)
+            if quarantine:
+                # At most a row for every `limit` rejects; whether it is broadcast the planner sees.
+                over = staged.rejected.groupBy(FILE).count().where(F.col("count") > limit).select(FILE)
+                sound, bad = (Load(staged.rows.join(over, FILE, how), spec.schema) for how in ("left_anti", "left_semi"))
+                failed = 0
+            else:
+                sound, bad, failed = staged, None, staged.rejected.count()
+                failed = failed if failed > limit else 0
+            if not failed:
+                put_files(sound.good_by_file, table)
+            record_rejects(staged, table, name, spec.sep)
             if not loaded(session, table, name):
-                record_load(staged, table, name, rejected > limit)
+                if bad is not None:
+                    keep_aside(bad, quarantine_table(table), name, spec.sep)
+                    record_load(bad, table, name, True)
+                record_load(sound, table, name, bool(failed))
         finally:
             remove_path(session, stage)
-        if rejected > limit:
-            raise RejectLimitExceeded(f"{table}: {rejected} rows rejected, limit {limit}")
+        if failed:
+            raise RejectLimitExceeded(f"{table}: {failed} rows rejected, limit {limit}")
 
     lines = _new_lines(spark, folder, spec.schema, spec.sep, spec.charset, files_per_batch)
     query = (
