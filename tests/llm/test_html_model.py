@@ -17,6 +17,7 @@ from wardlens.llm.html_model import (
     labelled_by_elements,
     layouts,
     parse,
+    sample_pages,
     train,
 )
 from wardlens.llm.queries import op7_html_extraction
@@ -118,3 +119,14 @@ def test_raw_elements_end_at_their_own_tag_after_letters_that_lower_to_two(model
     raws = [raw for node, raw in parse(page).events if node >= 0]
     assert raws == [dots, "The first part.", "The second part."]
     assert extract([page], model) == [f"{dots.strip()}\nThe first part.\nThe second part."]
+
+
+def test_sample_is_of_different_marked_pages_whatever_the_partitions(spark):
+    own = [f"<main>{i}</main>" for i in range(40)]
+    rows = [(h,) for h in [*own, None, "", "<div>no</div>", *["<Article >copy</Article>"] * 300]]
+    all_pages = spark.createDataFrame(rows, "hash string")
+    picked = {r.html for r in sample_pages(all_pages, "hash", 1000).collect()}
+    assert picked == {*own, "<Article >copy</Article>"}
+    few = [sorted(tuple(r) for r in sample_pages(all_pages.repartition(n), "hash", 5).collect()) for n in (1, 7)]
+    everything = sorted(tuple(r) for r in sample_pages(all_pages, "hash", 1000).collect())
+    assert few[0] == few[1] == everything[:5]

@@ -388,10 +388,19 @@ def extract(sources: list[str | None], model: Potentials) -> list[str]:
     return [_text(p, content[a : a + len(p.parent)]) for p, a in zip(pages, forest.first)]
 
 
+def sample_pages(pages: DataFrame, html_col: str, sample: int) -> DataFrame:
+    """hash and html of at most `sample` different pages that name their main element, those with the
+    least hashes. Hashes are picked first; only the picked pages, one for each hash, are moved.
+    """
+    marked = pages.filter(F.col(html_col).rlike("(?i)<(article|main)[\\s>]"))
+    marked = marked.select(F.xxhash64(html_col).alias("hash"), F.col(html_col).alias("html"))
+    least = marked.select("hash").distinct().orderBy("hash").limit(sample)
+    return marked.join(F.broadcast(least), "hash").groupBy("hash").agg(F.min("html").alias("html"))
+
+
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES, layout_pages: int = LAYOUT_PAGES) -> Potentials:
-    """Train on layouts and at most `sample` pages of the table, those with the least hashes."""
-    marked = pages.filter(F.col(html_col).rlike("(?i)<(article|main)[\\s>]")).select(F.col(html_col).alias("html"))
-    few = marked.orderBy(F.xxhash64("html"), "html").limit(sample).collect()
+    """Train on layouts and at most `sample` pages of the table."""
+    few = sample_pages(pages, html_col, sample).orderBy("hash").collect()
     own = [p for p in (labelled_by_elements(r.html) for r in few) if p]
     return train(own + layouts(layout_pages))
 
