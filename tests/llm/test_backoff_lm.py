@@ -5,9 +5,10 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from wardlens.llm.backoff_lm import PRIOR, score_texts
+from wardlens.llm.backoff_lm import PRIOR, BackoffAutomaton, Block, score_texts
 from wardlens.llm.queries import op6_lm_scoring
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -79,3 +80,64 @@ def test_edge_cases(make_docs):
 def test_registered_query_scores_by_trigrams(spark, small_docs):
     rows = [(r.doc_id, r.text) for r in small_docs.select("doc_id", "text").collect()]
     same(op6_lm_scoring(spark, "/root/testdata/sf0.001").collect(), plain_scores(rows, 3))
+
+
+def automaton(texts, order, held=()):
+    """Over one block that holds the whole corpus."""
+    numbers = {b" ": 0}
+    ids = [np.array([numbers.setdefault(w, len(numbers)) for w in [*t.encode().split(), b" "]], np.int32) for t in texts]
+    flags = [i in held for i in range(len(texts))]
+    block = Block.of_numbers(numbers, ids, flags)
+    counts = [np.bincount(at[block.learns[places]], minlength=len(keys)) for _, keys, at, _, places in block.grams(order)]
+    return BackoffAutomaton(block, counts, int(block.learns.sum()), int((counts[0] > 0).sum()), PRIOR)
+
+
+TEXTS = ["a b a c a b d", "", "b a c a b", "a b a c", "d d d d d d", "z a b y a c"]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_words_of_every_state_sum_to_one(order):
+    made = automaton(TEXTS, order)
+    types = len(made.block.words)
+    assert len(made.failure) == len(made.shorter) and (len(made.failure) > types) == (order > 1)
+    last = np.searchsorted(made.block.words, hashes(b" ")[0])
+    states = np.arange(len(made.failure), dtype=np.int32)
+    over = set(made.step(states.copy(), np.full(len(states), last))[1].tolist()) - {made.start()}  # no word follows
+    for state in set(states.tolist()) - over:
+        weight, target = made.step(np.full(types, state, np.int32), np.arange(types))
+        assert ((0 <= target) & (target < len(made.failure))).all()
+        unseen = 1 / (len(made.block.ids) + types + 1)  # a word that no text has
+        while state:
+            unseen *= 10 ** made.failure[state]
+            state = made.shorter[state]
+        assert (10**weight).sum() + unseen == pytest.approx(1)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+@pytest.mark.parametrize("piece", [1, 2, 3, 5])
+def test_pieces_of_a_text_walk_as_the_whole(order, piece):
+    made = automaton([*TEXTS, " ".join(TEXTS * 9)], order, held={2, 5})
+    assert made.walk(piece) == pytest.approx(made.walk(10_000), rel=1e-12)
+
+
+def test_failure_arcs_lead_to_the_history_without_its_first_word():
+    made = automaton(["a b c", "b d", "x b d"], 3)
+    word = {w: int(np.searchsorted(made.block.words, h)) for w, h in zip(b"abcdx", hashes(b"abcdx"))}
+
+    def after(words):
+        state = np.zeros(1, np.int32)
+        for w in words:
+            _, state = made.step(state.copy(), np.array([word[w]]))
+        return int(state[0])
+
+    assert made.shorter[after(b"ab")] == after(b"b") and made.shorter[after(b"b")] == 0
+    # "a b d" was never seen: over the failure arc to "b", and on to the state "b d".
+    assert after(b"abd") == after(b"bd") == after(b"xbd")
+    # "a x" was never seen: the state holds no more than "x".
+    assert after(b"ax") == after(b"x") != after(b"xb")
+
+
+def hashes(letters):
+    import xxhash
+
+    return np.array([xxhash.xxh64_intdigest(bytes([w])) for w in letters], np.uint64)

@@ -7,8 +7,9 @@ Dirichlet prior on the shorter history (MacKay and Peto, "A hierarchical Dirichl
 
     p(w|h) = (c(hw) + m p(w|h')) / (c(h) + m)        p(w) = (c(w) + 1) / (N + V + 1)
 
-so that seen arcs and failures sum to one in every state. A text is scored in one pass: each word takes
-the arc of the state it meets, through failure arcs where it has none.
+so that seen arcs and failures sum to one in every state. A text is scored in one pass from left to
+right that carries a state: each word takes the arc of the state it meets, through failure arcs where
+there is none, and its logarithm is added up. All texts of a block take the step side by side.
 
 The automaton of a whole corpus fits no machine, and need not: the texts are cut into blocks of bounded
 size, and a block is scored on the part of the automaton that its own n-grams touch. Each block sends
@@ -42,6 +43,7 @@ from wardlens.llm.staging import partitions, ship_package, staged
 PRIOR = 20.0
 BLOCK_TOKENS = 1_500_000
 RANGE_TOKENS = 2_000_000
+PIECE = 1024
 FOLDS, HELD_OUT = 7, 2
 
 _END = b" "  # no word holds a space
@@ -233,28 +235,113 @@ def _add_up(chunks: pa.Table) -> pa.Table:
 
 
 class BackoffAutomaton:
-    """The part of the automaton that a block's n-grams touch."""
+    """The part of the automaton that a block's n-grams touch, as arrays.
+
+    State 0 is the empty history; the learnt histories of one word, of two and so on follow. The arcs lie
+    in the order of (state, word): `weight` and the state that each leads to, `target`. Over its failure
+    arc a state goes to `shorter` at the weight `failure`. The empty state has an arc for every word.
+    """
 
     def __init__(self, block: Block, counts: list[np.ndarray], tokens: int, types: int, prior: float):
-        self.block, self.counts, self.prior = block, counts, prior
-        self.unigram = np.log10((counts[0] + 1) / (tokens + (types + 1)))
+        self.block, self.order, self.types = block, len(counts), len(block.words)
+        failure, shorter = [np.zeros(1)], [np.zeros(1, np.int32)]
+        arcs, weights, targets = [], [], []
+        made = 1
+        for n, keys, at, history, places in block.grams(self.order):
+            count = counts[n - 1]
+            learnt = count > 0
+            if n == 1:
+                self.known = learnt
+                self.unigram = value = np.log10((count + 1) / (tokens + (types + 1)))
+                below = np.zeros(len(keys), np.int32)  # the state of a gram without its first word
+                kept, source, word = np.arange(len(keys)), 0, np.arange(len(keys))
+            else:
+                one = np.empty(len(keys), np.int64)  # a place of each gram
+                before = np.empty(len(keys), np.int64)
+                one[at], before[at] = places, history
+                rest = at_shorter[one]
+                below = state[rest]
+                with_history = counts[n - 2][before]
+                back = np.log10(prior / (with_history + prior)) + value[rest]
+                value = np.where(learnt, np.log10(count / (with_history + prior) + 10.0**back), back)
+                kept = np.flatnonzero(learnt)
+                source, word = state[before[kept]].astype(np.int64), block.ids[one[kept]]
+            goal = below
+            if n < self.order:
+                goal = below.copy()  # the longest state that ends a gram: its own if it was learnt
+                goal[learnt] = made + np.arange(np.count_nonzero(learnt), dtype=np.int32)
+                made += np.count_nonzero(learnt)
+                failure.append(np.log10(prior / (count[learnt] + prior)))
+                shorter.append(below[learnt])
+                at_shorter = np.zeros(len(block.ids), np.int64)
+                at_shorter[places] = at
+            arc = source * self.types + word
+            by_arc = np.argsort(arc)
+            arcs.append(arc[by_arc])
+            weights.append(value[kept[by_arc]])
+            targets.append(goal[kept[by_arc]])
+            state = goal
+        # Histories grow from part to part, and so do the numbers of their states.
+        self.arcs = np.append(np.concatenate(arcs), np.iinfo(np.int64).max)
+        self.weight, self.target = np.concatenate(weights), np.concatenate(targets)
+        self.failure, self.shorter = np.concatenate(failure), np.concatenate(shorter)
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From each state over its word: the weight of the way, and the state it ends in."""
+        wanted = state * np.int64(self.types) + word
+        arc = np.searchsorted(self.arcs, wanted)
+        weight = np.zeros(len(state))
+        lost = np.flatnonzero(self.arcs[arc] != wanted)
+        while len(lost):
+            weight[lost] += self.failure[state[lost]]
+            state[lost] = self.shorter[state[lost]]
+            again = state[lost] * np.int64(self.types) + word[lost]
+            found = np.searchsorted(self.arcs, again)
+            arc[lost] = found
+            lost = lost[self.arcs[found] != again]
+        return weight + self.weight[arc], self.target[arc]
+
+    def walk(self, piece: int = PIECE) -> np.ndarray:
+        """Every text's log-probability: all texts of the block go from left to right, a word at a time,
+        each with the state it is in.
+
+        A long text goes as pieces side by side. The state at a place is the longest learnt history that
+        ends there, so a walk from the empty state is in it after `order - 1` words; a later piece reads
+        these ahead of its first word, without adding their weights.
+        """
+        block = self.block
+        ahead = self.order - 1
+        piece = max(piece, ahead, 1)
+        pieces = -(-block.lengths // piece)
+        text = np.repeat(np.arange(len(pieces)), pieces)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = block.starts[text] + number * piece
+        end = np.minimum(begin + piece, block.ends[text])
+        first = begin - np.where(number > 0, ahead, 0)
+        longest_first = np.argsort(first - end, kind="stable")
+        text, number, begin, first, end = (x[longest_first] for x in (text, number, begin, first, end))
+        state = np.where(number == 0, self.start(), 0).astype(np.int32)
+        score = np.zeros(len(text))
+        words = first - end  # ascending: the pieces with words left are the first ones
+        for read in range(-int(words[0])):
+            left = np.searchsorted(words, -read)
+            place = first[:left] + read
+            weight, state[:left] = self.step(state[:left].copy(), block.ids[place])
+            score[:left] += np.where(place >= begin[:left], weight, 0.0)
+        return np.bincount(text, weights=score, minlength=len(pieces))
+
+    def start(self) -> int:
+        """The state of a text that has not begun: the end of another is its history."""
+        if self.order == 1:
+            return 0
+        end = np.searchsorted(self.block.words, np.uint64(xxhash.xxh64_intdigest(_END)))
+        return int(self.target[end])  # the empty state's arcs come first, a word each
 
     def score(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of every text: known words, unigram score, score."""
-        block, m = self.block, self.prior
-        for n, _, at, history, places in block.grams(len(self.counts)):
-            if n == 1:
-                weight = base = self.unigram[at]
-                known = self.counts[0][at] > 0
-                continue
-            weight = weight.copy()
-            state = self.counts[n - 2][history]
-            failure = np.log10(m / (state + m))
-            arc = self.counts[n - 1][at] / (state + m)
-            back = weight[places] + failure  # over the failure arc
-            weight[places] = np.where(arc > 0, np.log10(arc + 10.0**back), back)
-        starts = block.starts
-        return tuple(np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, weight))
+        ids, starts = self.block.ids, self.block.starts
+        base = np.add.reduceat(self.unigram[ids], starts)
+        return np.add.reduceat(self.known[ids].astype(np.int64), starts), base, self.walk()
 
 
 def score_texts(
