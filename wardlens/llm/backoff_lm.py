@@ -112,29 +112,38 @@ class Block:
 
         A history is numbered among the keys of n - 1. Places too near the start for n are left out.
         """
-        places = np.arange(len(self.ids))
-        keys, at = self.words, self.ids.astype(np.int64)
-        yield 1, keys, at, np.zeros(0, np.int64), places
+        places = np.arange(len(self.ids), dtype=np.int32)
+        keys, at = self.words, self.ids.astype(np.int32)
+        yield 1, keys, at, np.zeros(0, np.int32), places
         end = np.searchsorted(self.words, np.uint64(xxhash.xxh64_intdigest(_END)))
         for n in range(2, order + 1):
-            number = np.full(len(self.ids), -1, np.int64)
-            number[places] = at
-            history = np.empty_like(number)
-            history[1:] = number[:-1]
+            history = np.full(len(self.ids), -1, np.int32)
+            history[places] = at
+            history[1:] = history[:-1].copy()
             history[self.starts] = end if n == 2 else -1
-            places = np.flatnonzero(history >= 0)
+            places = np.flatnonzero(history >= 0).astype(np.int32)
             history = history[places]
-            pairs, first, at = np.unique(
-                history * len(self.words) + self.ids[places], return_index=True, return_inverse=True
-            )
+            at, first = _numbered(history * np.int64(len(self.words)) + self.ids[places])
             joined = _joined_keys(keys[history[first]], self.words[self.ids[places[first]]])
-            by_key = np.argsort(joined, kind="stable")
-            rank = np.empty_like(by_key)
-            rank[by_key] = np.arange(len(by_key))
-            keys, at = joined[by_key], rank[at]
+            del first
+            by_key = np.argsort(joined)
+            keys = joined[by_key]
+            rank = np.empty(len(by_key), np.int32)
+            rank[by_key] = np.arange(len(by_key), dtype=np.int32)
+            at = rank[at]
+            del joined, by_key, rank
             yield n, keys, at, history, places
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values numbered in ascending order, and a place of each."""
+    order = np.argsort(values)
+    new = np.diff(values[order], prepend=-1) > 0
+    at = np.empty(len(values), np.int32)
+    at[order] = np.cumsum(new, dtype=np.int32) - 1
+    return at, order[new]
+
+
 def to_blocks(docs: DataFrame, id_col: str, text_col: str, block_tokens: int) -> DataFrame:
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 24
@@ -256,16 +265,18 @@ class BackoffAutomaton:
                 below = np.zeros(len(keys), np.int32)  # the state of a gram without its first word
                 kept, source, word = np.arange(len(keys)), 0, np.arange(len(keys))
             else:
-                one = np.empty(len(keys), np.int64)  # a place of each gram
-                before = np.empty(len(keys), np.int64)
+                one = np.empty(len(keys), np.int32)  # a place of each gram
+                before = np.empty(len(keys), np.int32)
                 one[at], before[at] = places, history
                 rest = at_shorter[one]
                 below = state[rest]
                 with_history = counts[n - 2][before]
                 back = np.log10(prior / (with_history + prior)) + value[rest]
                 value = np.where(learnt, np.log10(count / (with_history + prior) + 10.0**back), back)
+                del rest, with_history, back
                 kept = np.flatnonzero(learnt)
                 source, word = state[before[kept]].astype(np.int64), block.ids[one[kept]]
+                del one, before
             goal = below
             if n < self.order:
                 goal = below.copy()  # the longest state that ends a gram: its own if it was learnt
@@ -273,16 +284,20 @@ class BackoffAutomaton:
                 made += np.count_nonzero(learnt)
                 failure.append(np.log10(prior / (count[learnt] + prior)))
                 shorter.append(below[learnt])
-                at_shorter = np.zeros(len(block.ids), np.int64)
+                at_shorter = np.zeros(len(block.ids), np.int32)
                 at_shorter[places] = at
             arc = source * self.types + word
             by_arc = np.argsort(arc)
             arcs.append(arc[by_arc])
-            weights.append(value[kept[by_arc]])
-            targets.append(goal[kept[by_arc]])
+            kept = kept[by_arc]
+            del source, word, arc, by_arc
+            weights.append(value[kept])
+            targets.append(goal[kept])
             state = goal
         # Histories grow from part to part, and so do the numbers of their states.
-        self.arcs = np.append(np.concatenate(arcs), np.iinfo(np.int64).max)
+        del keys, at, history, places, value, kept, state, goal, below
+        self.arcs = np.concatenate([*arcs, [np.iinfo(np.int64).max]])
+        del arcs
         self.weight, self.target = np.concatenate(weights), np.concatenate(targets)
         self.failure, self.shorter = np.concatenate(failure), np.concatenate(shorter)
 
@@ -374,6 +389,7 @@ def score_texts(
             np.concatenate([_unpack(c, np.int64) for kind, _, c in parts if kind == n] or [np.zeros(0, np.int64)])
             for n in range(1, order + 1)
         ]
+        del row, parts
         known, base, score = BackoffAutomaton(block, counts, tokens, types, prior).score()
         return pa.table(
             {
