@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from wardlens.llm.backoff_lm import PRIOR, BackoffAutomaton, Block, score_texts
+from wardlens.llm.backoff_lm import PRIOR, BackoffAutomaton, Block, _pack, _pack_sorted, _unpack, _unpack_sorted, score_texts
 from wardlens.llm.queries import op6_lm_scoring
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -141,3 +141,13 @@ def hashes(letters):
     import xxhash
 
     return np.array([xxhash.xxh64_intdigest(bytes([w])) for w in letters], np.uint64)
+
+
+@pytest.mark.parametrize("dtype", [np.uint8, np.uint32, np.int64, np.uint64])
+@pytest.mark.parametrize("n", [0, 1, 5_000])
+def test_packed_numbers_come_back(dtype, n):
+    values = np.random.default_rng(n).integers(0, np.iinfo(dtype).max, n, dtype, endpoint=True)
+    values[::2] //= 250
+    assert (_unpack(_pack(values), dtype) == values).all() and len(_unpack(_pack(values), dtype)) == n
+    ordered = np.sort(values.astype(np.uint64))
+    assert (_unpack_sorted(_pack_sorted(ordered)) == ordered).all()

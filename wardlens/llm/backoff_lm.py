@@ -58,15 +58,19 @@ SCORES = (
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Integers by byte planes, compressed."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    """Integers by byte planes, each compressed by itself: random low bytes would spoil the code of the high ones."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T
+    packer = zstandard.ZstdCompressor(level=1)
+    return b"".join(packer.compress(plane.tobytes()) for plane in planes)
 
 
 def _unpack(data: bytes, dtype) -> np.ndarray:
-    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(flat.reshape(size, -1).T).view(dtype).reshape(-1)
+    planes = []
+    while data:
+        frame = zstandard.ZstdDecompressor().decompressobj()
+        planes.append(np.frombuffer(frame.decompress(data), np.uint8))
+        data = frame.unused_data
+    return np.stack(planes, axis=1).reshape(-1).view(dtype)
 
 
 def _pack_sorted(keys: np.ndarray) -> bytes:
