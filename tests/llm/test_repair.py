@@ -5,11 +5,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from wardlens.llm.queries import op9_token_id_output
-from wardlens.llm.repair import Grammar, Shard, compress, read_ids, word_encoder, write_ids
+from wardlens.llm.repair import Grammar, Shard, compress, read_ids, word_encoder, words_of, write_ids
 from wardlens.session import shared_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +21,11 @@ def library():
     return Tokenizer.from_file(PATH)
 
 
+def shard_of(ids, texts, least):
+    words, starts = words_of(pa.array([t.encode() for t in texts], pa.binary()))
+    return compress(ids, np.diff(starts), [words], word_encoder(PATH), 1, least)
+
+
 def library_ids(library, text):
     return [*library.encode(text or "", add_special_tokens=False).ids, 1]
 
@@ -41,8 +47,8 @@ def test_rules_expand_to_the_text_and_shorten_it():
     symbols, grammar = text.copy(), Grammar(10)
     group = np.repeat(np.arange(10), len(text) // 10)
     sizes = [len(symbols)]
-    while (keep := grammar.round(symbols, group, None, 10)) is not None:
-        symbols, group = symbols[keep], group[keep]
+    while (done := grammar.round(symbols, group, None, 10)) is not None:
+        symbols, group = symbols[done[0]], group[done[0]]
         sizes.append(len(symbols))
     flat, bounds = grammar.expansions()
     assert np.concatenate([flat[bounds[s] : bounds[s + 1]] for s in symbols]).tolist() == text.tolist()
@@ -50,6 +56,28 @@ def test_rules_expand_to_the_text_and_shorten_it():
     assert np.bincount(group).tolist() == [len(symbols) // 10] * 10 or len(set(group)) == 10
 
 
+def test_rounds_over_touched_places_equal_rounds_over_all():
+    rng = np.random.default_rng(5)
+    for least in (2, 3, 9):
+        text = np.concatenate([np.tile(rng.integers(0, 5, 30), 20), np.zeros(200, np.int64), rng.integers(0, 5, 900)])
+        group = np.sort(rng.integers(0, 12, len(text)))
+        for weight in (None, rng.integers(1, 4, 12)[group].astype(float)):
+            some, whole = Grammar(5), Grammar(5)
+            got, owner = some.shorten(text.copy(), group, weight, least)
+            symbols, of, w = text.copy(), group, weight
+            while (done := whole.round(symbols, of, w, least)) is not None:
+                symbols, of, w = symbols[done[0]], of[done[0]], None if w is None else w[done[0]]
+            assert some.rules.tolist() == whole.rules.tolist() and len(some.rules) > 5
+            assert got.tolist() == symbols.tolist() and owner.tolist() == of.tolist()
+
+
+def test_words_are_those_between_ascii_white_space():
+    texts = [" a  b\t\n", None, "", "\x0b\x0c\r ", "c", "é\u00a0d \x1ce\x85f\u2003 g"]
+    words, starts = words_of(pa.array([t if t is None else t.encode() for t in [*texts, "sliced"]], pa.binary())[:-1])
+    got = [words[a:b].to_pylist() for a, b in zip(starts, starts[1:])]
+    assert got == [[w.decode() for w in (t or "").encode().split()] for t in texts]
+
+
 def test_the_most_frequent_pair_comes_first():
     grammar = Grammar(3)
     symbols = np.array([0, 1, 0, 1, 0, 1, 2, 2])
@@ -60,7 +88,7 @@ def test_the_most_frequent_pair_comes_first():
 def test_shard_gives_any_range_of_any_document(library):
     rng = random.Random(4)
     texts = [" ".join(rng.choice(["the", "of the", "Wörter,", "inst", "x!!"]) for _ in range(rng.randint(0, 80))) for _ in range(60)]
-    payload, n = compress([*range(59), None], [t.encode().split() for t in texts], word_encoder(PATH), 1, 4)
+    payload, n = shard_of([*range(59), None], texts, 4)
     shard = Shard(payload)
     assert len(shard.grammar.rules) > 3
     assert shard.is_null.tolist() == [False] * 59 + [True]
@@ -100,10 +128,10 @@ def test_edge_cases_and_small_shards(spark, make_docs, library):
 def test_rounds_go_on_until_no_pair_is_frequent():
     rng = random.Random(8)
     passage = " ".join(rng.choice(["the", "of", "inst", "house", "river", "x!!", "and", "who"]) for _ in range(300))
-    texts = [passage.encode().split()] * 40 + [("na " * 5000).encode().split()]
-    payload, n = compress([*range(41)], texts, word_encoder(PATH), 1, 16)
+    texts = [passage] * 40 + ["na " * 5000]
+    payload, n = shard_of([*range(41)], texts, 16)
     shard = Shard(payload)
-    flat, _ = word_encoder(PATH).encode([w.decode() for t in texts for w in t])
+    flat, _ = word_encoder(PATH).encode([w for t in texts for w in t.split()])
     assert n == len(flat) + len(texts) and [i for i in shard.all_ids().tolist() if i != 1] == [i for i in flat.tolist() if i != 1]
     symbols = shard.symbols(0, len(shard.packed))
     doc_of = np.repeat(np.arange(len(texts)), np.diff(shard.symbol_starts))

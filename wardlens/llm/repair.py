@@ -3,9 +3,10 @@
 Documents are sorted by id and cut into shards of bounded size. In a shard frequent pairs of
 neighbouring ids become new symbols, again and again, until no pair is frequent (Larsson and Moffat,
 "Off-line dictionary-based compression"). A round takes many pairs at once: where two of them overlap
-the more frequent one wins, the other waits for the next round. A word's ids are the same wherever it
-stands, so pairs inside words are counted and replaced in the shard's list of words, weighted by how
-often each occurs, and pairs across words in the text itself. No pair spans two documents.
+the more frequent one wins, the other waits for the next round. Later rounds count only the places beside
+a new symbol and those that waited: no other pair can have become frequent. A word's ids are the same
+wherever it stands, so pairs inside words are counted and replaced in the shard's list of words, weighted
+by how often each occurs, and pairs across words in the text itself. No pair spans two documents.
 
 A shard (all little-endian): the header `HEADER`; of each document the id, a null mark, the first token
 and the first symbol; of each rule its two symbols and its expansion length; the symbols. Symbols below
@@ -26,13 +27,13 @@ import functools
 import json
 import struct
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -50,6 +51,7 @@ LEAST_USES = 64
 HEADER = struct.Struct("<4sIIIQQI")  # mark, base, documents, rules, symbols, tokens, bytes of a symbol
 _MARK = b"RPG1"
 _PIECES_HELD = 300_000
+_ENDS_WORD = frozenset(",.!?;:")
 SHARDS = "part int, seq int, n_docs long, n_ids long, payload binary"
 
 
@@ -92,7 +94,7 @@ class WordEncoder:
         low = word.lower() if plain or "\u03a3" not in word else "".join([c.lower() for c in word])
         if low.isalpha():
             found = (low,)
-        elif low[:-1].isalpha() and low[-1] in ",.!?;:":
+        elif low[-1:] in _ENDS_WORD and low[:-1].isalpha():
             found = (low[:-1], low[-1])
         else:
             found = self.pattern.findall(low)
@@ -114,9 +116,22 @@ class WordEncoder:
         lengths = np.concatenate([lengths, np.array([len(w) for w in whole], np.int64)])
         self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(lengths))
 
+    def split_all(self, words: list[str]) -> list[tuple[str, ...] | list[str]]:
+        """`split` of every word, quicker for plain words, which are lower-cased together."""
+        lower = "\n".join(words).lower().split("\n") if words else []
+        split = self.split
+        return [
+            (low,)
+            if low.isalpha() and word.isascii()
+            else (low[:-1], low[-1])
+            if low[-1:] in _ENDS_WORD and low[:-1].isalpha() and word.isascii()
+            else split(word)
+            for word, low in zip(words, lower)
+        ]
+
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The words' ids end to end, and how many each has."""
-        found = list(map(self.split, words))
+        """The ids, end to end, of words without ASCII white space, and how many each has."""
+        found = self.split_all(words)
         counts = np.fromiter(map(len, found), np.int64, len(found))
         pieces = list(chain.from_iterable(found))
         new = list({p for p in pieces if p not in self.known})
@@ -148,20 +163,39 @@ class Grammar:
         self.base = base
         self.rules = np.zeros((0, 2), np.int64)
 
-    def round(self, symbols: np.ndarray, group: np.ndarray, weight: np.ndarray | None, least: int) -> np.ndarray | None:
-        """Replace the pairs of at least `least` uses; the places kept, or None if there are none.
-
-        `group` tells which places belong together; `weight` how often each place counts. The symbols
-        change in place: where a pair is replaced its first place takes the new symbol.
+    def shorten(
+        self, symbols: np.ndarray, group: np.ndarray, weight: np.ndarray | None, least: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Rounds until no pair has `least` uses; the symbols left and the group of each."""
+        at = None
+        while (done := self.round(symbols, group, weight, least, at)) is not None:
+            keep, at = done
+            symbols, group = symbols[keep], group[keep]
+            weight = None if weight is None else weight[keep]
+        return symbols, group
+
+    def round(
+        self, symbols: np.ndarray, group: np.ndarray, weight: np.ndarray | None, least: int, at: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray] | None:
+        """Replace the pairs of at least `least` uses; None if there are none.
+
+        `group` tells which places belong together; `weight` how often each place counts; `at` where pairs
+        begin that may be frequent, all places if not given. The symbols change in place: where a pair is
+        replaced its first place takes the new symbol. Returned are a mask of the places kept and, counted
+        among those, the `at` of the next round.
         """
         top = self.base + len(self.rules)
-        uses = np.bincount(symbols, weights=weight, minlength=top)
-        # A pair is at most as frequent as either symbol.
-        often = uses[symbols] >= least
-        at = np.flatnonzero(often[:-1] & often[1:] & (group[:-1] == group[1:]))
+        if at is None:
+            uses = np.bincount(symbols, weights=weight, minlength=top)
+            # A pair is at most as frequent as either symbol.
+            often = uses[symbols] >= least
+            at = np.flatnonzero(often[:-1] & often[1:] & (group[:-1] == group[1:]))
+        else:
+            at = at[at + 1 < len(symbols)]
+            at = at[group[at] == group[at + 1]]
         if not len(at):
             return None
-        keys = symbols[at] * top + symbols[at + 1]
+        keys = symbols[at].astype(np.int64) * top + symbols[at + 1]
         if weight is None:
             ordered = np.sort(keys)
             first = np.flatnonzero(np.diff(ordered, prepend=-1))
@@ -186,7 +220,7 @@ class Grammar:
         starts = np.flatnonzero(~runs_on)
         odd = (np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))) % 2 == 1
         wins = ~odd & (runs_on | (mine < order[at])) & (mine <= order[at + 2])
-        at, mine = at[wins], mine[wins]
+        waits, at, mine = at[~wins], at[wins], mine[wins]
         used = np.unique(mine)
         rename = np.zeros(len(pairs), np.int64)
         rename[used] = top + np.arange(len(used))
@@ -195,7 +229,11 @@ class Grammar:
         self.rules = np.concatenate([self.rules, np.stack([chosen // top, chosen % top], axis=1)])
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        return keep
+        place = np.cumsum(keep, dtype=np.int32) - 1
+        touched = np.zeros(len(symbols), bool)
+        for places in (place[at], np.maximum(place[at] - 1, 0), place[waits[keep[waits]]]):
+            touched[places] = True
+        return keep, np.flatnonzero(touched)
 
     def expansions(self) -> tuple[np.ndarray, np.ndarray]:
         """The token ids of every symbol, end to end, and where each begins."""
@@ -212,37 +250,43 @@ class Grammar:
         return symbols, np.append(0, np.cumsum(np.bincount(owner, minlength=self.base + len(self.rules))))
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words between ASCII white space, end to end, and where each text's begin; null counts as empty."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, b"").cast(pa.string()))
+    words = lists.flatten()
+    real = pc.not_equal(words, "")  # white space at either end, and an empty text, give an empty word
+    before = np.append(0, np.cumsum(real.to_numpy(zero_copy_only=False)))
+    return words.filter(real), before[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+
 def compress(
-    doc_ids: list[int | None], texts: list[list[bytes]], encoder: WordEncoder, end_id: int, least: int
+    doc_ids: list[int | None], counts: np.ndarray, words: list[pa.Array], encoder: WordEncoder, end_id: int, least: int
 ) -> tuple[bytes, int]:
-    """One shard's bytes and its number of tokens."""
-    counts = np.fromiter(map(len, texts), np.int64, len(texts))
-    number: dict[bytes, int] = defaultdict(count().__next__)
-    flat = np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), np.int64, int(counts.sum()))
-    symbols, lengths = encoder.encode([w.decode() for w in number])
+    """One shard's bytes and its number of tokens, from the number of words of each document and all the words."""
+    coded = pa.chunked_array(words, pa.string()).dictionary_encode().unify_dictionaries()
+    distinct = coded.chunk(0).dictionary.to_pylist() if coded.num_chunks else []
+    flat = np.concatenate([np.zeros(0, np.int32), *(c.indices.to_numpy() for c in coded.chunks)])
+    symbols, lengths = encoder.encode(distinct)
     # The end of a document is a word of its own, after all others.
-    symbols, lengths = np.append(symbols, end_id).astype(np.int64), np.append(lengths, 1)
-    which = np.insert(flat, np.cumsum(counts), len(number))
-    doc_of = np.repeat(np.arange(len(texts)), counts + 1)
-    tokens = np.bincount(doc_of, weights=lengths[which], minlength=len(texts)).astype(np.int64)
+    symbols, lengths = np.append(symbols, end_id).astype(np.int32), np.append(lengths, 1)
+    which = np.insert(flat, np.cumsum(counts), len(distinct))
+    doc_of = np.repeat(np.arange(len(counts), dtype=np.int32), counts + 1)
+    tokens = np.bincount(doc_of, weights=lengths[which], minlength=len(counts)).astype(np.int64)
 
     grammar = Grammar(max(encoder.base, end_id + 1))
-    word_of = np.repeat(np.arange(len(lengths)), lengths)
-    uses = np.bincount(which, minlength=len(lengths))
-    while (keep := grammar.round(symbols, word_of, uses[word_of].astype(np.float64), least)) is not None:
-        symbols, word_of = symbols[keep], word_of[keep]
+    word_of = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    uses = np.bincount(which, minlength=len(lengths)).astype(np.float64)
+    symbols, word_of = grammar.shorten(symbols, word_of, uses[word_of], least)
     offsets = np.append(0, np.cumsum(np.bincount(word_of, minlength=len(lengths))))
     symbols, widths = _gather(symbols, offsets, which)
-    doc_of = np.repeat(doc_of, widths)
-    while (keep := grammar.round(symbols, doc_of, None, least)) is not None:
-        symbols, doc_of = symbols[keep], doc_of[keep]
+    symbols, doc_of = grammar.shorten(symbols, np.repeat(doc_of, widths), None, least)
 
     _, spans = grammar.expansions()
-    per_doc = np.bincount(doc_of, minlength=len(texts))
+    per_doc = np.bincount(doc_of, minlength=len(counts))
     top = grammar.base + len(grammar.rules)
     width = 2 if top <= 1 << 16 else 3 if top <= 1 << 24 else 4
     parts = [
-        HEADER.pack(_MARK, grammar.base, len(texts), len(grammar.rules), len(symbols), int(tokens.sum()), width),
+        HEADER.pack(_MARK, grammar.base, len(counts), len(grammar.rules), len(symbols), int(tokens.sum()), width),
         np.array([i or 0 for i in doc_ids], "<i8").tobytes(),
         np.array([i is None for i in doc_ids], "<u1").tobytes(),
         np.append(0, np.cumsum(tokens)).astype("<u8").tobytes(),
@@ -325,23 +369,31 @@ def write_ids(
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, seq = word_encoder(vocabulary), TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
-        texts: list[list[bytes]] = []
+        counts: list[np.ndarray] = []
+        words: list[pa.Array] = []
         size = 0
 
         def shard() -> pa.RecordBatch:
-            payload, n = compress(ids, texts, encoder, end_id, least_uses)
+            payload, n = compress(ids, np.concatenate(counts), words, encoder, end_id, least_uses)
             row = [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(ids)]), pa.array([n])]
             return pa.record_batch([*row, pa.array([payload], pa.binary())], names=["part", "seq", "n_docs", "n_ids", "payload"])
 
         for batch in it:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                words = (text.as_py() or b"").split()
-                ids.append(doc_id.as_py())
-                texts.append(words)
-                size += 2 * len(words) + 1  # about two ids a word
+            found, starts = words_of(batch.column(1))
+            grown = 2 * starts + np.arange(len(starts))  # about two ids a word, and the end
+            doc = 0
+            while doc < batch.num_rows:
+                # The document that fills the shard is its last.
+                full = int(np.searchsorted(grown, grown[doc] + shard_ids - size))
+                end = min(full, batch.num_rows)
+                ids += batch.column(0)[doc:end].to_pylist()
+                counts.append(np.diff(starts[doc : end + 1]))
+                words.append(found[starts[doc] : starts[end]])
+                size += int(grown[end] - grown[doc])
+                doc = end
                 if size >= shard_ids:
                     yield shard()
-                    seq, size, ids, texts = seq + 1, 0, [], []
+                    seq, size, ids, counts, words = seq + 1, 0, [], [], []
         if ids:
             yield shard()
 
