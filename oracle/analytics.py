@@ -39,11 +39,20 @@ _ENTRIES = ", ".join(
 _LARGEST = f"greatest({', '.join(_Z)})"
 _DOMINANT = "CASE " + " ".join(f"WHEN z_{f} = {_LARGEST} THEN '{f}'" for f in _FACTORS) + " END"
 
-_VIEW = "; ".join(
-    f"{name} {kind} ({meaning})"
-    for name, kind, meaning in [
-        ("co_cnes", "string", "hospital code, 7 digits with leading zeros"),
-        ("nome_estabelecimento", "string", "hospital name"),
+
+def _view(name: str, columns: list[tuple[str, str, str]]) -> str:
+    told = "; ".join(f"{column} {kind} ({meaning})" for column, kind, meaning in columns)
+    return f"View {name}: {told}. ".replace("'", "''")
+
+
+_HOSPITAL = [
+    ("co_cnes", "string", "hospital code, 7 digits with leading zeros"),
+    ("nome_estabelecimento", "string", "hospital name"),
+]
+_MONTHLY_VIEW = _view(
+    "gld_ocupacao_mensal",
+    [
+        *_HOSPITAL,
         ("ds_tipo_unidade", "string", "kind of unit"),
         ("competencia", "string", "month as text YYYYMM"),
         ("paciente_dia", "decimal(18,4)", "patient days of the month"),
@@ -53,14 +62,40 @@ _VIEW = "; ".join(
         ("var_vs_mes_anterior", "decimal(18,1)", "percentage points against the hospital's previous month"),
         ("media_movel_3m", "decimal(18,1)", "mean occupancy of its last three months, in percent"),
         ("ranking_no_mes", "bigint", "place within the month, 1 is the fullest"),
-    ]
-).replace("'", "''")
-_PROMPT = (
-    "SELECT conv_id, turn, 'You translate questions about hospital beds into one Spark SQL SELECT. "
-    f"View gld_ocupacao_mensal: {_VIEW}. "
-    "Reply with that statement alone. Compare months as text; the newest is max(competencia). "
-    "Question: ' || text AS prompt FROM conversations WHERE role = 'user'"
+    ],
+)
+_FEATURES_VIEW = _view(
+    "gld_features_hospital",
+    [
+        *_HOSPITAL,
+        ("tipo_unidade", "string", "kind of unit"),
+        ("leitos_sus", "bigint", "public beds, mean of its months"),
+        ("leitos_uti_sus", "bigint", "public intensive-care beds, mean of its months"),
+        ("taxa_media", "decimal(18,1)", "mean monthly occupancy in percent"),
+        ("taxa_max", "decimal(18,1)", "highest monthly occupancy in percent"),
+        ("taxa_desvio", "decimal(18,1)", "standard deviation of monthly occupancy"),
+        ("meses_com_dado", "bigint", "months known"),
+        ("perm_media", "decimal(18,1)", "mean stay in days"),
+        ("pct_diarias_uti", "decimal(18,1)", "percent of days in intensive care"),
+        ("pct_urgencia", "decimal(18,1)", "percent of admissions that were urgent"),
+        ("pct_alta_complex", "decimal(18,1)", "percent of admissions of high complexity"),
+        ("tx_mortalidade", "decimal(18,2)", "percent of admissions that ended in death"),
+        ("idade_media", "decimal(18,1)", "mean age of patients in years"),
+        ("total_aihs", "bigint", "admissions"),
+    ],
 )
+
+
+def _prompt(views: str) -> str:
+    return (
+        "SELECT conv_id, turn, 'You translate questions about hospital beds into one Spark SQL SELECT. "
+        f"{views}Reply with that statement alone. Compare months as text; the newest is max(competencia). "
+        "Question: ' || text AS prompt FROM conversations WHERE role = 'user'"
+    )
+
+
+_PROMPT = _prompt(_MONTHLY_VIEW)
+VIEW_PROMPTS = _prompt(_MONTHLY_VIEW + _FEATURES_VIEW)
 _MEASURES = (
     "leitos_sus leitos_uti_sus taxa_media taxa_max taxa_desvio perm_media pct_diarias_uti pct_urgencia "
     "pct_alta_complex tx_mortalidade idade_media total_aihs"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from oracle.analytics import VIEW_PROMPTS
 from oracle.fragments import big, query
 from oracle.reports import ADM_COLUMNS, LATEST, RELATIONAL
 
@@ -63,4 +64,5 @@ BRONZE = {
     "g1_quarantine": RELATIONAL["d6_gld_features_hospital"],
     "pipeline_clinical_profile": RELATIONAL["d25_clinical_profile"],
     "pipeline_features_view": RELATIONAL["d6_gld_features_hospital"],
+    "pipeline_view_prompts": VIEW_PROMPTS,
 }

@@ -328,8 +328,28 @@ def test_a_missing_name_is_a_name_of_its_own(spark):
 
 
 def test_the_prompt_tells_the_bands_in_use(spark):
-    text = questions.describe("v", spark.createDataFrame([], "semaforo string").schema)
+    view = gold.with_meanings(spark.createDataFrame([], "semaforo string, outra int"))
+    text = questions.describe("v", view.schema)
     assert f"above {CRITICAL} %" in text and f"from {ATTENTION} %" in text
+    assert text.endswith("; outra int. ")
+
+
+def test_views_keep_their_comments_in_the_catalog(spark):
+    db = tables.scratch_database(spark)
+    assert questions.describe_views(spark, db) == ""
+    comments = {"co_cnes": "it's a \\ code; \"7\" digits", "missing": "x"}
+    tables.define_view(spark, f"{db}.gld_ocupacao_mensal", "select 1 as co_cnes, 'a' as `od``d`", comments)
+    kept = {c.name: c.description for c in spark.catalog.listColumns(f"{db}.gld_ocupacao_mensal")}
+    assert kept == {"co_cnes": comments["co_cnes"], "od`d": None}
+    told = questions.describe_views(spark, db)
+    assert told == f"View gld_ocupacao_mensal: co_cnes int ({comments['co_cnes']}); od`d string. "
+    tables.define_view(spark, f"{db}.gld_ocupacao_mensal", "select 2 as co_cnes")
+    assert questions.describe_views(spark, db) == "View gld_ocupacao_mensal: co_cnes int. "
+
+
+def test_every_column_of_the_gold_views_has_a_meaning(spark):
+    assert set(gold.FEATURE_COLUMNS) <= set(gold.MEANINGS)
+    assert {name for sql in gold.VIEWS.values() for name in gold.MEANINGS if name in sql} == set(gold.MEANINGS)
 
 
 def test_chapter_files_load_by_position_under_any_header(spark, tmp_path):

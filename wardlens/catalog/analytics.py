@@ -80,8 +80,8 @@ def _answers(i: Inputs) -> DataFrame:
 
 def _prompts(i: Inputs) -> DataFrame:
     asked = i.conversations.where(F.col("role") == "user").select("conv_id", "turn", "text")
-    view = gold.monthly_occupancy(i.occupancy).schema
-    return questions.with_prompts(asked, "text", "gld_ocupacao_mensal", view)
+    view = gold.with_meanings(gold.monthly_occupancy(i.occupancy)).schema
+    return questions.with_prompts(asked, "text", questions.describe("gld_ocupacao_mensal", view))
 
 
 def _bodies(i: Inputs) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from wardlens.catalog.inputs import Inputs, Query, over
 from wardlens.operators.selection import at_latest
-from wardlens.plans import gold, pipeline, reports, silver
+from wardlens.plans import gold, pipeline, questions, reports, silver
 from wardlens.session import shared_path
 from wardlens.sources import driver_tables, tables
 from wardlens.sources.delimited import Load, read_delimited
@@ -325,6 +325,13 @@ def _built(i: Inputs) -> str:
     return database
 
 
+def _view_prompts(i: Inputs) -> DataFrame:
+    """Questions over every gold view of a finished build, as the catalog describes them."""
+    asked = i.conversations.where(F.col("role") == "user").select("conv_id", "turn", "text")
+    told = questions.describe_views(i.spark, _built(i))
+    return questions.with_prompts(asked, "text", told).select("conv_id", "turn", "prompt")
+
+
 BRONZE: dict[str, Query] = {
     "s1_read_delimited": over(lambda i: silver.beds(_beds_load(i).good)),
     "s1_header_map": over(_mapped_names),
@@ -351,6 +358,7 @@ BRONZE: dict[str, Query] = {
     "pipeline_features_view": over(
         lambda i: i.spark.table(f"{_built(i)}.gld_features_hospital")
     ),
+    "pipeline_view_prompts": over(_view_prompts),
     "pipeline_clinical_profile": over(
         lambda i: i.spark.table(f"{_built(i)}.gld_perfil_clinico")
     ),

@@ -67,8 +67,8 @@ def define_gold(spark: SparkSession, database: str) -> None:
         "internacao": f"{database}.slv_internacao",
         "leitos": f"{database}.slv_cnes_leitos",
     }
-    define_view(spark, f"{database}.gld_ocupacao_mensal", gold.MONTHLY.format(**inputs))
-    define_view(spark, f"{database}.gld_features_hospital", gold.FEATURES.format(**inputs))
+    for view, sql in gold.VIEWS.items():
+        define_view(spark, f"{database}.{view}", sql.format(**inputs), gold.MEANINGS)
 
 
 def build(

@@ -2,26 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlens.functions.decode import ATTENTION, CRITICAL
-
-# What the columns of the views mean, in the words the prompt gives to the model.
-MEANINGS = {
-    "co_cnes": "hospital code, 7 digits with leading zeros",
-    "nome_estabelecimento": "hospital name",
-    "ds_tipo_unidade": "kind of unit",
-    "competencia": "month as text YYYYMM",
-    "paciente_dia": "patient days of the month",
-    "leito_dia": "available bed days of the month",
-    "taxa_ocupacao": "occupancy in percent, may exceed 100, NULL without beds",
-    "semaforo": f"light: CRITICO above {CRITICAL} %, ATENCAO from {ATTENTION} %, else OK",
-    "var_vs_mes_anterior": "percentage points against the hospital's previous month",
-    "media_movel_3m": "mean occupancy of its last three months, in percent",
-    "ranking_no_mes": "place within the month, 1 is the fullest",
-}
+from wardlens.plans.gold import VIEWS
+
 INTRO = "You translate questions about hospital beds into one Spark SQL SELECT. "
 FORM = "Reply with that statement alone. Compare months as text; the newest is max(competencia). "
 ANSWER = T.StructType().add(
@@ -39,14 +25,20 @@ ANSWER = T.StructType().add(
 
 
 def describe(name: str, schema: T.StructType) -> str:
-    """What a model must know of a view: each column's name, type and meaning."""
+    """What a model must know of a view: each column's name, type and, where it has one, comment."""
     columns = [
-        f"{f.name} {f.dataType.simpleString()}" + (f" ({MEANINGS[f.name]})" if f.name in MEANINGS else "")
+        f"{f.name} {f.dataType.simpleString()}" + (f" ({f.metadata['comment']})" if "comment" in f.metadata else "")
         for f in schema
     ]
     return f"View {name}: {'; '.join(columns)}. "
 
 
+def describe_views(spark: SparkSession, database: str) -> str:
+    """The gold views a database has, as the catalog knows them."""
+    there = [v for v in VIEWS if spark.catalog.tableExists(f"{database}.{v}")]
+    return "".join(describe(v, spark.table(f"{database}.{v}").schema) for v in there)
+
+
 def prompt(question: Column, schema_text: str) -> Column:
     return F.concat(F.lit(f"{INTRO}{schema_text}{FORM}Question: "), question)
 
@@ -65,6 +57,7 @@ def answer_text(response: Column) -> Column:
     return F.get(spoken, F.lit(0))["text"]
 
 
-def with_prompts(questions: DataFrame, column: str, view: str, schema: T.StructType) -> DataFrame:
-    text = prompt(F.col(column), describe(view, schema))
+def with_prompts(questions: DataFrame, column: str, schema_text: str) -> DataFrame:
+    """Prompts, and request bodies around them, of questions over the views that `schema_text` describes."""
+    text = prompt(F.col(column), schema_text)
     return questions.withColumn("prompt", text).withColumn("corpo", request_body(F.col("prompt")))

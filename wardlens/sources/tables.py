@@ -304,6 +304,18 @@ def materialize_by_month(
     _replace(ranged.write.partitionBy(period), df.sparkSession, table)
 
 
-def define_view(spark: SparkSession, view: str, sql: str) -> None:
-    """Create or replace a catalog view. It is stored as text and always reads current tables."""
-    spark.sql(f"create or replace view {view} as {sql}")
+def define_view(spark: SparkSession, view: str, sql: str, comments: dict[str, str] | None = None) -> None:
+    """Create or replace a catalog view. It is stored as text and always reads current tables.
+
+    `comments` are kept with the columns of these names, where the catalog's readers find them.
+    """
+
+    def column(name: str) -> str:
+        quoted = "`" + name.replace("`", "``") + "`"
+        if name not in (comments or {}):
+            return quoted
+        text = comments[name].replace("\\", "\\\\").replace("'", "\\'")
+        return f"{quoted} comment '{text}'"
+
+    columns = ", ".join(map(column, spark.sql(sql).columns)) if comments else ""
+    spark.sql(f"create or replace view {view} {f'({columns}) ' if columns else ''}as {sql}")
