@@ -141,10 +141,10 @@ def test_swapped_columns_fail_the_check_and_are_mapped_by_name(spark, tmp_path):
 
 
 def test_mapped_files_may_lack_columns_and_have_others(spark, tmp_path):
-    write(tmp_path / "a.csv", ["cnes;outra;leitos_sus", "1;x;5", '"2";y;n/d', "3", "4;;6;7"])
+    write(tmp_path / "a.csv", ["cnes;outra;leitos_sus", "1;x;5.25", '"2";y;n/d', "3", "4;;6;7"])
     load = read_delimited(spark, str(tmp_path), BEDS, names="map")
     got = {r.cnes: (r.leitos_sus, r.uf) for r in load.good.collect()}
-    assert got == {"1": (5, None), "3": (None, None), "4": (6, None)}
+    assert got == {"1": (5.25, None), "3": (None, None), "4": (6, None)}
     assert [(r.linha, r.motivo) for r in load.rejected_lines().collect()] == [('"2";y;n/d', "leitos_sus: nao numerico")]
     assert load.audit.first().com_excedente == 4  # a column of its own is a surplus
     write(tmp_path / "b.csv", ["x;y", "1;2"])

@@ -166,6 +166,19 @@ def test_t11_no_beds_gives_no_rate(spark):
     assert got == {"0000001": (58, D("50.0")), "0000002": (0, None)}
 
 
+def test_fractional_beds_give_fractional_bed_days(spark):
+    stays = spark.createDataFrame(
+        [("1", "A", "202402", D("29")), ("2", "B", "202402", D("5"))],
+        "co_cnes string, no_estabelecimento string, competencia string, dias_perm decimal(18,4)",
+    )
+    beds = spark.createDataFrame(
+        [("1", "202402", "A", "GERAL", D("10.5")), ("2", "202402", "B", "GERAL", D("3000000000"))],
+        "cnes string, competencia string, nome_estabelecimento string, ds_tipo_unidade string, leitos_sus decimal(18,4)",
+    )
+    got = {r.co_cnes: (r.leito_dia, r.taxa_ocupacao) for r in silver.occupancy(stays, beds).collect()}
+    assert got == {"1": (D("304.5"), D("9.5")), "2": (D("87000000000"), D("0.0"))}
+
+
 def test_registry_key_padding_is_optional(spark):
     stays = spark.createDataFrame(
         [("0000001", "A", "202402", D(29))],

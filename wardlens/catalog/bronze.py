@@ -136,6 +136,17 @@ def _rejects(i: Inputs) -> DataFrame:
     )
 
 
+def _fractional(i: Inputs) -> DataFrame:
+    """Counts with a fraction, and beyond 32 bits, are numbers like others."""
+    beds = F.col("leitos_sus")
+    odd = F.when(beds == 4, "4.5").when(beds == 3, "3000000000").otherwise(beds.cast("string"))
+    files = _beds_files(i, _full_layout(i.beds_raw, BEDS).withColumn("leitos_sus", odd))
+    table = f"{tables.scratch_database(i.spark)}.brz_cnes_leitos_raw"
+    tables.append_load(read_delimited(i.spark, files, BEDS), table, reject_limit=0)
+    loaded = silver.beds(i.spark.table(table))
+    return silver.occupancy(i.stays, loaded).select("co_cnes", "competencia", "leito_dia", "taxa_ocupacao")
+
+
 def _load_report(i: Inputs) -> DataFrame:
     table = f"{tables.scratch_database(i.spark)}.brz_cnes_leitos_raw"
     load = _dirty_beds(i)
@@ -342,6 +353,7 @@ BRONZE: dict[str, Query] = {
     "s4_pad_short_rows": over(_short_rows),
     "s5_rejects": over(_rejects),
     "s6_load_report": over(_load_report),
+    "s8_fractional_counts": over(_fractional),
     "s6_rejected_rows": over(_rejected_rows),
     "s7_append_load": over(_append),
     "s7_reload": over(_reload),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardlens.functions import casts, decode, keys
 from wardlens.functions.rounding import percent_sql
@@ -115,8 +116,9 @@ def occupancy(stays: DataFrame, registry: DataFrame, padded_keys: bool = False)
     broadcasts a side it knows to be small, else both are hashed on the two keys, which leaves
     the adaptive skew join free to split a hot hospital-month. Tables bucketed by hospital
     need no exchange here. `padded_keys` pads the registry key as well; off, keys are compared
-    as filed.
+    as filed. Bed days are whole numbers where the registry's counts are, else decimals.
     """
+    fractional = isinstance(registry.schema["leitos_sus"].dataType, T.DecimalType)
     registry_key = keys.pad_key(F.col("cnes")) if padded_keys else F.col("cnes")
     capacity = registry.select(
         registry_key.alias("cnes"),
@@ -129,7 +131,9 @@ def occupancy(stays: DataFrame, registry: DataFrame, padded_keys: bool = False)
     joined = stays.join(
         capacity,
         (F.col("co_cnes") == F.col("cnes")) & (F.col("competencia") == F.col("comp")),
-    ).withColumn("leito_dia", F.expr(f"cast(leitos_sus as bigint) * {days}"))
+    )
+    bed_days = f"cast(leitos_sus * {days} as decimal(18,4))" if fractional else f"cast(leitos_sus as bigint) * {days}"
+    joined = joined.withColumn("leito_dia", F.expr(bed_days))
     return joined.select(
         "co_cnes",
         "nome_estabelecimento",

@@ -16,7 +16,8 @@ def text(name: str, width: int) -> T.StructField:
 
 
 def count(name: str) -> T.StructField:
-    return T.StructField(name, T.IntegerType())
+    """A declared number: fractions to four decimals and whatever is too large for an integer are kept."""
+    return T.StructField(name, T.DecimalType(18, 4))
 
 
 def periods(first: str, months: int) -> list[str]:
