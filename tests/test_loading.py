@@ -385,3 +385,12 @@ def test_a_failed_build_keeps_the_table_and_a_plan_may_read_what_it_replaces(spa
     path = jvm.org.apache.hadoop.fs.Path(folders)
     left = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
     assert len(left) == 1  # versions that were replaced, or not finished, are gone
+
+
+def test_a_line_is_split_once_whatever_is_asked_of_its_fields(spark, tmp_path):
+    write(tmp_path / "a.csv", ["CNES;COMP;LEITOS_SUS", '1;202401;"2"', "2;202401;x", "3;2024011;4"])
+    load = read_delimited(spark, str(tmp_path), BEDS, names="map")
+    plan = load.good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert [(r.cnes, r.comp, int(r.leitos_sus)) for r in load.good.collect()] == [("1", "202401", 2)]
+    assert load.rejected.count() == 2

@@ -187,16 +187,21 @@ def _read_by_name(
 ) -> Load:
     from wardlens.sources.lines import FIELDS, LINE, NAMES, demand, lines_under_headers
 
-    lines, headers = lines_under_headers(spark, path, 1, sep, charset)
     declared = F.array(*[F.lit(f.name.lower()) for f in schema])
+    # Where a file has each declared column (from 1; 0: nowhere), and what else its header says.
+    of_names = {
+        "lugares": F.array(*[F.array_position(NAMES, f.name.lower()).cast("int") for f in schema]),
+        "estranhas": F.size(F.array_except(NAMES, declared)) > 0,
+        "largura": F.size(NAMES),
+    }
+    lines, headers = lines_under_headers(spark, path, 1, sep, charset, of_names)
     demand(headers, F.arrays_overlap(NAMES, declared), "the header names no column of the layout")
 
-    def field(name: str) -> Column:
-        at = F.array_position(NAMES, name.lower()).cast("int")
+    def field(name: str, number: int) -> Column:
+        at = F.get("lugares", F.lit(number))
         return F.when(at > 0, F.get(FIELDS, at - 1)).alias(name)
 
-    rows = lines.select(*[field(f.name) for f in schema], F.col(LINE).alias(RAW), FILE, FIELDS, NAMES)
-    unknown = F.size(F.array_except(NAMES, declared)) > 0
-    surplus = unknown | (F.size(FIELDS) > F.size(NAMES))
-    checks = {REASON: reject_reason(schema), SURPLUS: surplus}
-    return Load(rows.withColumns(checks).drop(FIELDS, NAMES), schema)
+    fields = [field(f.name, k) for k, f in enumerate(schema)]
+    surplus = F.col("estranhas") | (F.size(FIELDS) > F.col("largura"))
+    rows = lines.select(*fields, F.col(LINE).alias(RAW), FILE, surplus.alias(SURPLUS))
+    return Load(rows.withColumn(REASON, reject_reason(schema)), schema)

@@ -27,7 +27,8 @@ class UnknownLayout(ValueError):
 def split_fields(line: Column, sep: str) -> Column:
     """The fields of a line, without the quotes around them; empty ones are NULL."""
     pattern = _FIELD.format(sep=re.escape(sep))
-    found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(pattern), F.lit(1))
+    quoted = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(pattern), F.lit(1))
+    found = F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, re.escape(sep)))
 
     def bare(field: Column) -> Column:
         inner = F.replace(F.substring(field, F.lit(2), F.char_length(field) - 2), F.lit('""'), F.lit('"'))
@@ -49,11 +50,17 @@ def _lines(spark: SparkSession, path: str | list[str], charset: str) -> DataFram
 
 
 def lines_under_headers(
-    spark: SparkSession, path: str | list[str], skip: int, sep: str, charset: str = WINDOWS
+    spark: SparkSession,
+    path: str | list[str],
+    skip: int,
+    sep: str,
+    charset: str = WINDOWS,
+    of_names: dict[str, Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Lines below line `skip` of each file: the line, its fields, the names in line `skip`, the file.
 
-    Also returned are the names alone, a row per file.
+    Also returned are the names alone, a row per file. `of_names` are more columns, made of the names once
+    per file and given to each of its lines.
 
     Positions grow by one along a split, so a line's number is its distance from the first line of
     its file's first split. Only that position and the header, a row per file each, are aggregated
@@ -70,10 +77,11 @@ def lines_under_headers(
     header = F.rtrim(F.regexp_replace(LINE, "^(﻿|ï»¿)", ""), F.lit(sep))
     names = F.transform(split_fields(header, sep), lambda n: F.lower(F.trim(n)))
     headers = numbered.where(F.col("numero") == skip).select(F.col(PATH).alias("_de"), names.alias(NAMES))
-    headers = checked_broadcast(headers)
+    headers = checked_broadcast(headers.withColumns(of_names or {}))
     below = numbered.where((~F.col("primeiro") | (F.col("numero") > skip)) & (F.trim(LINE) != ""))
+    # Filters over fields stop above the explode; below it they would split a line once for every field.
     rows = below.join(headers, F.col(PATH) == F.col("_de")).select(
-        LINE, split_fields(F.col(LINE), sep).alias(FIELDS), NAMES, FILE
+        LINE, F.explode(F.array(split_fields(F.col(LINE), sep))).alias(FIELDS), NAMES, *(of_names or {}), FILE
     )
     return rows, headers
 
