@@ -394,3 +394,25 @@ def test_a_line_is_split_once_whatever_is_asked_of_its_fields(spark, tmp_path):
     assert plan.count("regexp_extract_all") == 1
     assert [(r.cnes, r.comp, int(r.leitos_sus)) for r in load.good.collect()] == [("1", "202401", 2)]
     assert load.rejected.count() == 2
+
+
+def test_rows_are_written_by_file_without_sorting_them(spark, monkeypatch):
+    """Writers of several files stay open in a task, which reads one staged part; more files are written too."""
+    table, seen = f"{tables.scratch_database(spark)}.t", []
+    matched = tables._matched
+
+    def watched(*given):
+        seen.append({key: int(spark.conf.get(key)) for key in watch})
+        return matched(*given)
+
+    watch = "spark.sql.maxConcurrentOutputFileWriters", "spark.sql.files.openCostInBytes"
+    before = [spark.conf.get(key) for key in watch]
+    monkeypatch.setattr(tables, "_matched", watched)
+    for add in (0, 1000):
+        tables.put_files(
+            spark.range(2000).coalesce(1).select((F.col("id") + add).alias("n"), F.concat(F.lit("f"), F.col("id") % 100).alias(FILE)), table
+        )
+    assert all(0 < s[watch[0]] < 100 and s[watch[1]] >= 2**27 for s in seen) and len(seen) == 1
+    assert [spark.conf.get(key) for key in watch] == before
+    assert sorted(r.n for r in spark.table(table).collect()) == list(range(1000, 3000))
+

@@ -13,6 +13,10 @@ from wardlens.session import remove_path, shared_path
 from wardlens.sources.delimited import FILE, Load, file_name
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+# A task that writes by file keeps a writer open for each file its rows came from, instead of sorting its
+# rows by file, and reads one staged part, which holds what one split of the text held. Its memory then
+# does not grow with the load. Rows of more files than that are sorted.
+BY_FILE = {"spark.sql.maxConcurrentOutputFileWriters": "64", "spark.sql.files.openCostInBytes": str(2**30)}
 
 
 class RejectLimitExceeded(RuntimeError):
@@ -83,17 +87,21 @@ def put_files(rows: DataFrame, table: str, whole: bool = False) -> None:
     deliver some files a month; a file is known by its name.
     """
     spark = rows.sparkSession
-    if not spark.catalog.tableExists(table):
-        rows.write.partitionBy(FILE).saveAsTable(table)
-        return
-    if FILE not in spark.table(table).columns:
+    exists = spark.catalog.tableExists(table)
+    if exists and FILE not in spark.table(table).columns:
         raise ValueError(f"{table} does not keep its rows by file; load into a database of its own")
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "static" if whole else "dynamic")
+    settings = {**BY_FILE, OVERWRITE_MODE: "static" if whole else "dynamic"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        _matched(rows, table).write.insertInto(table, overwrite=True)
+        if exists:
+            _matched(rows, table).write.insertInto(table, overwrite=True)
+        else:
+            rows.write.partitionBy(FILE).saveAsTable(table)
     finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def files_in(spark: SparkSession, table: str) -> DataFrame:

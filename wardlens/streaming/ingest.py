@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlens.operators.broadcasting import checked_broadcast
 from wardlens.sources.bronze import SOURCES
 from wardlens.sources.delimited import FILE, RAW, REASON, Load, as_rows, options, raw_schema
 from wardlens.sources.tables import RejectLimitExceeded, loaded, put_files, record_load, record_rejects
@@ -109,8 +110,8 @@ def ingest_table(
             rows.write.parquet(stage)
             staged = Load(session.read.schema(rows.schema).parquet(stage), spec.schema)
             if quarantine:
-                # At most a row for every `limit` rejects; whether it is broadcast the planner sees.
-                over = staged.rejected.groupBy(FILE).count().where(F.col("count") > limit).select(FILE)
+                # Counted first: a shuffle join would bring all lines of a file into one task.
+                over = checked_broadcast(staged.rejected.groupBy(FILE).count().where(F.col("count") > limit).select(FILE))
                 sound, bad = (Load(staged.rows.join(over, FILE, how), spec.schema) for how in ("left_anti", "left_semi"))
                 failed = 0
             else:
