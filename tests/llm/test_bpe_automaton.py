@@ -86,3 +86,12 @@ def test_edge_cases(make_docs):
     again = decode(encode(docs)).collect()
     assert sorted(map(repr, ((r.doc_id, r.decoded) for r in again))) == sorted(map(repr, ((r.doc_id, r.decoded) for r in rows)))
     assert encode(make_docs([])).count() == 0
+
+
+def test_a_word_is_encoded_once_whatever_stands_behind_it(library, monkeypatch):
+    bpe = byte_bpe.__wrapped__(PATH)
+    encoded, plain = [], bpe.automaton.encode
+    monkeypatch.setattr(bpe.automaton, "encode", lambda word: encoded.append(word) or plain(word))
+    text = "ndstthan eableing, eableing. eableing! (eableing\n eableing  eableing"
+    assert list(bpe.encode(text)) == library.encode(text, add_special_tokens=False).ids
+    assert encoded.count(b" eableing") == 1

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import functools
 import json
-import re
 from array import array
 from collections.abc import Iterator
 
@@ -36,9 +35,9 @@ from wardlens.llm.staging import ship_package
 
 VOCABULARY = "byte_bpe_50k.json"
 _NEVER = 1 << 60
-_WORDS_HELD = 300_000
+_WORDS_HELD = 500_000
+_LONGEST_HELD = 64
 _ARCS_HELD = 1_000_000
-_UNEVEN = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
 _IDS_PER_BATCH = 4_000_000
 
 
@@ -53,11 +52,17 @@ class MergeAutomaton:
     def __init__(self, labels: dict[bytes, int], merges: list[tuple[bytes, bytes]]):
         self.ids = labels
         self.labels = {i: label for label, i in labels.items()}
-        # How far a label can go that begins with these three bytes.
-        self._longest: dict[bytes, int] = {}
+        # Lengths of the labels that begin with these four bytes, longest first.
+        lengths: dict[bytes, set[int]] = {}
         for label in labels:
-            self._longest[label[:3]] = max(self._longest.get(label[:3], 0), len(label))
-        self._reach = self._longest.get
+            if len(label) >= 4:
+                lengths.setdefault(label[:4], set()).add(len(label))
+        self._lengths = {begin: tuple(sorted(found, reverse=True)) for begin, found in lengths.items()}
+        # The next shorter label that a label begins with, and its token; a byte has none.
+        self._shorter: dict[int, tuple[int, int] | None] = {}
+        for label, token in labels.items():
+            end = next((k for k in range(len(label) - 1, 0, -1) if label[:k] in labels), 0)
+            self._shorter[token] = (labels[label[:end]], end) if end else None
         # Chains of (token, time): of the state behind a token, and of what its arc hangs on.
         self.behind = {labels[b]: ((labels[b], _NEVER),) for b in labels if len(b) == 1}
         self.before = dict(self.behind)
@@ -91,23 +96,36 @@ class MergeAutomaton:
         arc = self._arcs[state << 32 | token] = self._has_arc(state, token)
         return arc
 
+    def _longest(self, word: bytes, begin: int) -> tuple[int, int]:
+        """Token and length of the longest label that stands at a place."""
+        ids = self.ids
+        for length in self._lengths.get(word[begin : begin + 4], ()):
+            label = word[begin : begin + length]
+            if label in ids:
+                return ids[label], len(label)
+        for length in (3, 2, 1):
+            label = word[begin : begin + length]
+            if label in ids:
+                return ids[label], len(label)
+        raise ValueError("a byte has no token")
+
     def encode(self, word: bytes) -> list[int]:
         """Follow the longest labels first; a place that leads nowhere is not tried again.
 
         A prefix has one accepted sequence, so how a place was reached does not matter.
         """
-        ids = self.ids
-        if word in ids:
-            return [ids[word]]
-        n, known, reach = len(word), self._arcs.get, self._reach
+        whole = self.ids.get(word)
+        if whole is not None:
+            return [whole]
+        n, known, longest, shorter = len(word), self._arcs.get, self._longest, self._shorter
         tokens: list[int] = []
         begins: list[int] = []
         dead: set[int] = set()
         begin, state = 0, self.START
-        end = min(n, reach(word[:3], 3))
+        token, length = longest(word, 0)
         while True:
-            token = ids.get(word[begin:end])
-            if token is not None and end not in dead:
+            end = begin + length
+            if end not in dead:
                 arc = known(state << 32 | token)
                 if arc is None:
                     arc = self.has_arc(state, token)
@@ -117,21 +135,17 @@ class MergeAutomaton:
                         return tokens
                     begins.append(begin)
                     begin, state = end, token
-                    end = min(n, end + reach(word[end : end + 3], 3))
+                    token, length = longest(word, begin)
                     continue
-            end -= 1
-            if end == begin:
+            less = shorter[token]
+            while less is None:
                 if not tokens:
                     raise ValueError("a byte has no token")
                 dead.add(begin)
-                end, begin = begin - 1, begins.pop()
-                tokens.pop()
+                begin = begins.pop()
+                less = shorter[tokens.pop()]
                 state = tokens[-1] if tokens else self.START
-                while end == begin and tokens:
-                    dead.add(begin)
-                    end, begin = begin - 1, begins.pop()
-                    tokens.pop()
-                    state = tokens[-1] if tokens else self.START
+            token, length = less
 
 
 class ByteBpe:
@@ -154,42 +168,22 @@ class ByteBpe:
         self.labels = self.automaton.labels | {i: t.encode() for t, i in added.items()}
         self.words = regex.compile(public_tokenizers.PATTERN)
         self.special = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
-        self._opening: dict[str, array] = {}
-        self._spaced: dict[str, array] = {}
-
-    def _cut(self, text: str) -> array:
-        out = array("i")
-        for word in self.words.findall(text):
-            out.extend(self.automaton.encode(word.encode()))
-        return out
+        self._pieces: dict[str, list[int]] = {}
 
     def _words(self, text: str) -> array:
-        """A single space or line break between visible characters always ends a word.
-
-        So a text without other white space is looked up by what stands between them.
-        """
-        if not text or _UNEVEN.search(text):
-            return self._cut(text)
-        out, opening, spaced = array("i"), self._opening, self._spaced
-        extend, first_known, known, line_break = out.extend, opening.get, spaced.get, self._cut("\n")
-        for i, line in enumerate(text.split("\n")):
-            if i:
-                extend(line_break)
-            first, *rest = line.split(" ")
-            ids = first_known(first)
+        """The ids of a text's words; words met before are looked up."""
+        out, pieces = [], self._pieces
+        known = pieces.get
+        for word in self.words.findall(text):
+            ids = known(word)
             if ids is None:
-                if len(opening) >= _WORDS_HELD:
-                    opening.clear()
-                ids = opening[first] = self._cut(first)
-            extend(ids)
-            for word in rest:
-                ids = known(word)
-                if ids is None:
-                    if len(spaced) >= _WORDS_HELD:
-                        spaced.clear()
-                    ids = spaced[word] = self._cut(" " + word)
-                extend(ids)
-        return out
+                if len(pieces) >= _WORDS_HELD:
+                    pieces.clear()
+                ids = array("i", self.automaton.encode(word.encode()))
+                if len(word) <= _LONGEST_HELD:
+                    pieces[word] = ids
+            out += ids
+        return array("i", out)
 
     def encode(self, text: str) -> array:
         if not self.special or not any(t in text for t in self.added):
