@@ -7,13 +7,14 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.conftest import rows
 from tests.test_ingest import beds_line, report_file, write
 from wardlens.functions.decode import ATTENTION, CRITICAL
 from wardlens.plans import gold, questions, silver
-from wardlens.sources import bronze, tables
-from wardlens.sources.delimited import FILE, SURPLUS, read_delimited
+from wardlens.sources import bronze, driver_tables, schemas, tables
+from wardlens.sources.delimited import FILE, REASON, SURPLUS, Load, read_delimited, reject_reason
 from wardlens.sources.lines import FIELDS, NAMES, UnknownLayout, lines_under_headers, split_fields
 from wardlens.sources.report import MONTH_NAMES, month_column, month_of, read_month_rows
 from wardlens.sources.schemas import ADMISSIONS, BEDS, DISEASE_CHAPTERS
@@ -416,3 +417,37 @@ def test_rows_are_written_by_file_without_sorting_them(spark, monkeypatch):
     assert [spark.conf.get(key) for key in watch] == before
     assert sorted(r.n for r in spark.table(table).collect()) == list(range(1000, 3000))
 
+
+
+def test_the_load_report_counts_rows_without_sorting_them(spark):
+    lines = [("a", "x" * 16, False), ("a", "x", True), ("a", None, False), ("b", "y", False), ("b", "é" * 15, False)]
+    schema = T.StructType([schemas.text("chave", 15), schemas.text("nome", 30)])
+    rows = spark.createDataFrame([(k, None, f, s) for f, k, s in lines], f"chave string, nome string, {FILE} string, {SURPLUS} boolean")
+    load = Load(rows.withColumn(REASON, reject_reason(schema)), schema)
+    plan = load.audit._jdf.queryExecution().executedPlan().toString()
+    first = [line for line in plan.splitlines() if "Aggregate(" in line][-1]
+    assert "HashAggregate" in first
+    assert {tuple(r) for r in load.audit.collect()} == {("a", 3, 1, 1, "chave: mais de 15 caracteres"), ("b", 2, 0, 0, None)}
+
+
+def test_the_first_broken_rule_is_named_and_bytes_are_not_characters(spark):
+    schema = T.StructType([schemas.text("a", 2), schemas.text("b", 3), schemas.text("c", 2), schemas.count("n")])
+    cases = [
+        (("xx", "xxx", "xx", "1"), None),
+        (("éé", "ééé", "éé", None), None),
+        ((None, None, None, None), None),
+        (("xx", "xxxx", "xxx", "z"), "b: mais de 3 caracteres"),
+        (("xx", None, "ééé", "z"), "c: mais de 2 caracteres"),
+        (("xx", None, "éé", "z"), "n: nao numerico"),
+    ]
+    found = spark.createDataFrame([c for c, _ in cases], "a string, b string, c string, n string").select(reject_reason(schema))
+    assert [r[0] for r in found.collect()] == [reason for _, reason in cases]
+
+
+def test_dates_of_the_mapped_admissions_need_no_formatter(spark):
+    days = ["1995-01-02", "1999-12-31", "0999-05-06", "0001-01-01", "9999-12-31", None]
+    dates = spark.createDataFrame([(d,) for d in days], "d string").select(F.col("d").cast("date").alias("d"))
+    parts = driver_tables._parts(F.col("d"))
+    patterns = ("yyyy", "MM", "yyyyMMdd")
+    got = dates.select(*parts, *[F.date_format("d", p) for p in patterns]).collect()
+    assert [tuple(r[:3]) for r in got] == [tuple(r[3:]) for r in got]

@@ -7,6 +7,8 @@ DataFrame, so good rows, rejects and the load report are three views of one pars
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,8 +79,13 @@ def checked(rows: DataFrame, schema: T.StructType, sep: str) -> DataFrame:
 
 
 def reject_reason(schema: T.StructType) -> Column:
-    """The first declared rule a row breaks, or NULL. Missing fields break none."""
-    rules = []
+    """The first declared rule a row breaks, or NULL. Missing fields break none.
+
+    The rules are gone through only for rows that may break one: texts of one width are first held
+    against it by the longest of them.
+    """
+    rules, suspect = [], []
+    lengths: dict[int, list[Column]] = {}
     for field in schema:
         value = F.col(field.name)
         if isinstance(field.dataType, T.StringType):
@@ -86,11 +93,14 @@ def reject_reason(schema: T.StructType) -> Column:
             # A text has at most as many characters as bytes; counting bytes decodes nothing.
             wide = (F.octet_length(value) > width) & (F.length(value) > width)
             rules.append(F.when(wide, f"{field.name}: mais de {width} caracteres"))
+            lengths.setdefault(width, []).append(F.octet_length(value))
         else:
             kind = field.dataType.simpleString()
             broken = value.isNotNull() & value.try_cast(kind).isNull()
             rules.append(F.when(broken, f"{field.name}: nao numerico"))
-    return F.coalesce(*rules)
+            suspect.append(broken)
+    suspect += [(F.greatest(*found) if len(found) > 1 else found[0]) > width for width, found in lengths.items()]
+    return F.when(reduce(or_, suspect), F.coalesce(*rules))
 
 
 def surplus_fields(fields: int, sep: str) -> Column:
@@ -146,12 +156,18 @@ class Load:
 
     @property
     def audit(self) -> DataFrame:
-        """Load report: per file, rows read, rejected, and kept without surplus fields."""
-        return self.rows.groupBy(F.col(FILE).alias("arquivo")).agg(
-            F.count("*").alias("lidas"),
-            F.count(REASON).alias("rejeitadas"),
-            F.count_if(F.col(SURPLUS)).alias("com_excedente"),
-            F.min(REASON).alias("motivo"),
+        """Load report: per file, rows read, rejected, and kept without surplus fields.
+
+        Rows are counted by file and reason first: the least of texts would be found by sorting the rows.
+        """
+        counted = self.rows.groupBy(F.col(FILE).alias("arquivo"), F.col(REASON).alias("motivo")).agg(
+            F.count("*").alias("linhas"), F.count_if(F.col(SURPLUS)).alias("com_excedente")
+        )
+        return counted.groupBy("arquivo").agg(
+            F.sum("linhas").alias("lidas"),
+            F.sum(F.when(F.col("motivo").isNotNull(), F.col("linhas")).otherwise(0)).alias("rejeitadas"),
+            F.sum("com_excedente").alias("com_excedente"),
+            F.min("motivo").alias("motivo"),
         )
 
 
