@@ -4,12 +4,13 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.conftest import SMALL
 from wardlens.operators.selection import at_latest
-from wardlens.plans import clinical, gold, reports, silver
+from wardlens.plans import clinical, gold, pipeline, reports, silver
 from wardlens.session import shared_path
-from wardlens.sources import driver_tables, tables
+from wardlens.sources import driver_tables, schemas, tables
 
 
 def plan(df):
@@ -118,6 +119,48 @@ def test_month_layout_clusters_hospitals(spark, silver_tables):
     assert files.count() < months + 8
 
 
+def test_the_month_table_samples_its_ranges_on_filed_text(spark, monkeypatch):
+    """Values are parsed once, above the exchange whose sampling makes the rows below it a second time."""
+    seen, wanted = {}, ("co_cnes", "competencia", "n_aih", "dt_internacao", "val_total")
+
+    def watched(writer, session, table, schema=None):
+        if table.endswith("slv_internacao"):
+            seen["plan"] = writer._df._jdf.queryExecution().optimizedPlan().toString()
+            seen["rows"] = sorted(tuple(r) for r in writer._df.select(*wanted).collect())
+        return replace(writer, session, table, schema)
+
+    replace = tables._replace
+    monkeypatch.setattr(tables, "_replace", watched)
+    db = tables.scratch_database(spark)
+    row = {"cnes": "7", "ano_cmpt": "2024", "mes_cmpt": "03", "n_aih": "1", "dt_inter": "20240301", "val_tot": "12.50", "munic_mov": silver.CITY}
+    rows = [row, {**row, "n_aih": "2", "dt_inter": "20240230", "val_tot": "x"}, {**row, "n_aih": None, "munic_mov": None}]
+    filed = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{n} string" for n in row))
+    tables.materialize(filed, f"{db}.brz_sih_rd_raw", schemas.ADMISSIONS)
+    layouts = {"beds": schemas.BEDS, "stays": schemas.stay_report(), "codes": schemas.DISEASE_CODES, "chapters": schemas.DISEASE_CHAPTERS}
+    for name, layout in layouts.items():
+        tables.materialize(spark.createDataFrame([], layout), f"{db}.{pipeline.BRONZE[name]}")
+    pipeline.build_silver(spark, db)
+    above, below = seen["plan"].split("RepartitionByExpression")
+    assert "dt_internacao" in above and "dt_internacao" not in below and "val_total" not in below
+    typed = silver.admissions(spark.table(f"{db}.brz_sih_rd_raw"))
+    assert seen["rows"] == sorted(tuple(r) for r in typed.select(*wanted).collect()) and len(seen["rows"]) == 2
+
+
+def test_declared_columns_without_values_are_not_written(spark):
+    db = tables.scratch_database(spark)
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType()), T.StructField("c", T.StringType())])
+    table = f"{db}.t"
+    for given in ([("x", 1)], [("y", None), ("y", None)]):
+        tables.materialize(spark.createDataFrame([(b, a) for a, b in given], "b int, a string"), table, schema)
+        got = spark.table(table)
+        assert got.columns == ["a", "b", "c"] and [t for _, t in got.dtypes] == ["string", "int", "string"]
+        assert sorted(map(tuple, got.collect())) == sorted((a, b, None) for a, b in given)
+        files = got.select(F.input_file_name()).distinct().collect()
+        assert "c" not in spark.read.parquet(*[f[0] for f in files]).columns
+    with pytest.raises(ValueError, match="no column d"):
+        tables.materialize(spark.createDataFrame([(1,)], "d int"), table, schema)
+
+
 def test_invariants(spark, silver_tables, inputs):
     occupancy = spark.table(f"{silver_tables}.occupancy")
     assert occupancy.where("(taxa_ocupacao is null) <> (leito_dia = 0)").count() == 0

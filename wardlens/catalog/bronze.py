@@ -322,16 +322,16 @@ def _built(i: Inputs) -> str:
     """The pipeline over bronze tables made of the mapped inputs."""
     database = tables.scratch_database(i.spark)
     bronze = {
-        "admissions": _full_layout(i.admissions_raw, ADMISSIONS),
-        "beds": _full_layout(i.beds_raw, BEDS),
-        "stays": i.stays_wide,
-        "codes": _full_layout(
-            driver_tables.disease_codes_raw(i.spark, i.sf_dir), DISEASE_CODES
-        ),
-        "chapters": driver_tables.disease_chapters_raw(i.spark),
+        "admissions": (i.admissions_raw, ADMISSIONS),
+        "beds": (i.beds_raw, BEDS),
+        "stays": (i.stays_wide, None),
+        "codes": (driver_tables.disease_codes_raw(i.spark, i.sf_dir), DISEASE_CODES),
+        "chapters": (driver_tables.disease_chapters_raw(i.spark), None),
     }
-    for name, df in bronze.items():
-        tables.materialize(df, f"{database}.{pipeline.BRONZE[name]}")
+    for name, (df, layout) in bronze.items():
+        # The tables have all columns of their layouts.
+        schema = layout and _full_layout(df, layout).schema
+        tables.materialize(df, f"{database}.{pipeline.BRONZE[name]}", schema)
     pipeline.build(i.spark, database)
     return database
 

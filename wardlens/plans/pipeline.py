@@ -36,11 +36,12 @@ def build_silver(
         return f"{database}.{name}"
 
     materialize_by_month(
-        silver.admissions(bronze("admissions"), city),
+        silver.filed_admissions(bronze("admissions"), city),
         table("slv_internacao"),
         "co_cnes",
         "n_aih",
         partitions=partitions,
+        finish=silver.typed_admissions,
     )
     materialize_by_hospital(
         silver.beds(bronze("beds"), city), table("slv_cnes_leitos"), "cnes", buckets=buckets

@@ -14,13 +14,36 @@ from wardlens.sources.delimited import FILE
 CITY = "355030"
 
 
+# What the admissions' values are made of.
+_FILED = """
+dt_inter dt_saida dias_perm qt_diarias uti_mes_to val_tot val_uti sexo cod_idade idade morte diag_princ complex
+car_int proc_rea
+""".split()
+
+
 def admissions(raw: DataFrame, city: str = CITY) -> DataFrame:
     """`slv_internacao`: one row per admission authorization of the city."""
+    return typed_admissions(filed_admissions(raw, city))
+
+
+def filed_admissions(raw: DataFrame, city: str = CITY) -> DataFrame:
+    """The city's admissions under their keys, their values still text as filed."""
     c = F.col
     return raw.where(c("munic_mov") == city).select(
         keys.pad_key(c("cnes")).alias("co_cnes"),
         keys.period_key(c("ano_cmpt"), c("mes_cmpt")).alias("competencia"),
         "n_aih",
+        *_FILED,
+    )
+
+
+def typed_admissions(filed: DataFrame) -> DataFrame:
+    """`slv_internacao` from `filed_admissions`, row by row."""
+    c = F.col
+    return filed.select(
+        "co_cnes",
+        "competencia",
+        "n_aih",
         casts.date_or_null(c("dt_inter")).alias("dt_internacao"),
         casts.date_or_null(c("dt_saida")).alias("dt_saida"),
         casts.number_or_null(c("dias_perm")).alias("dias_perm"),

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardlens.operators.selection import first_rows
 from wardlens.session import remove_path, shared_path
@@ -241,8 +242,8 @@ def reload(load: Load, table: str, reject_limit: int = 100) -> DataFrame:
     return append_load(load, table, reject_limit, replace=True)
 
 
-def _replace(writer: DataFrameWriter, spark: SparkSession, table: str) -> None:
-    """Write a table beside the one it replaces, then put it in its place.
+def _replace(writer: DataFrameWriter, spark: SparkSession, table: str, schema: T.StructType | None = None) -> None:
+    """Write a table beside the one it replaces, then put it in its place; `schema` declares more columns than are written.
 
     The old rows stay until all new ones are written: a failed write leaves them as they were, and the
     plan may read the table it replaces. The swap itself only changes the catalog. Each version has a
@@ -254,6 +255,10 @@ def _replace(writer: DataFrameWriter, spark: SparkSession, table: str) -> None:
     place = f"{spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri}/{name}-{version}"
     try:
         writer.option("path", place).saveAsTable(new)
+        if schema is not None:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            spark.sql(f"drop table {new}")  # its files stay
+            spark.sql(f"create table {new} ({columns}) using parquet location '{place}'")
     except BaseException:
         spark.sql(f"drop table if exists {new}")
         remove_path(spark, place)
@@ -273,9 +278,18 @@ def _replace(writer: DataFrameWriter, spark: SparkSession, table: str) -> None:
         remove_path(spark, old)
 
 
-def materialize(df: DataFrame, table: str) -> None:
-    """Replace a table by the result of a plan."""
-    _replace(df.write, df.sparkSession, table)
+def materialize(df: DataFrame, table: str, schema: T.StructType | None = None) -> None:
+    """Replace a table by the result of a plan.
+
+    With `schema` the table has these columns, in their order. Those that the plan lacks are declared and
+    read as NULL, as where a table has gained columns, instead of a NULL being written for every row.
+    """
+    if schema is not None:
+        unknown = set(df.columns) - set(schema.fieldNames())
+        if unknown:
+            raise ValueError(f"{table} has no column {', '.join(sorted(unknown))}")
+        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in df.columns])
+    _replace(df.write if schema is None else df.write.format("parquet"), df.sparkSession, table, schema)
 
 
 def materialize_by_hospital(
@@ -299,16 +313,22 @@ def materialize_by_month(
     *more: str,
     period: str = "competencia",
     partitions: int | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Replace a table, partitioned by month and range-clustered by hospital inside it.
 
     Ranges over (month, hospital, more) keep files few and balanced, and split a hot hospital
     over several of them; min/max statistics serve hospital filters. Ranges default to the
     session's shuffle partitions.
+
+    Spark makes all rows once to sample the ranges and once more to deal them out. What `finish` makes of
+    the rows, row by row and without touching these keys, is made only once, after both.
     """
     count = [] if partitions is None else [partitions]
     ranged = df.repartitionByRange(*count, period, key, *more)
     ranged = ranged.sortWithinPartitions(period, key, *more)
+    if finish is not None:
+        ranged = finish(ranged)
     _replace(ranged.write.partitionBy(period), df.sparkSession, table)
 
 
