@@ -61,6 +61,26 @@ def test_bucketed_tables_join_and_trend_without_exchange(spark, silver_tables, n
     assert "Exchange" not in text
 
 
+def test_occupancy_passes_neither_side_through_the_driver(spark):
+    """Rows made by adding or unpivoting months are not in the planner's estimates, before or during the run."""
+    hospitals = [("0000001", "A", 10), ("0000001", "B", 20), ("0000002", None, 0), (None, "C", 1)]
+    registry = spark.createDataFrame(hospitals, "cnes string, nome_estabelecimento string, leitos_sus int").select(
+        "*", F.lit("G").alias("ds_tipo_unidade"), F.explode(F.array(F.lit("202401"), F.lit("202402"))).alias("competencia")
+    )
+    report = [("0000001 X", "155", "-"), ("0000002 Y", "31", "0"), ("0000003 Z", "9", "9"), ("Total", "195", "9")]
+    wide = spark.createDataFrame(report, "estab_cidade string, m_202401 string, m_202402 string")
+    joined = silver.occupancy(silver.patient_days(wide), registry)
+    rows = [(r.co_cnes, r.nome_estabelecimento, r.competencia, r.leito_dia) for r in joined.collect()]
+    assert sorted(rows, key=str) == [
+        ("0000001", "A", "202401", 310),
+        ("0000001", "B", "202401", 620),
+        ("0000002", None, "202401", 0),
+        ("0000002", None, "202402", 0),
+    ]
+    text = plan(joined)
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
 def test_trend_windows_share_one_sort(spark, silver_tables):
     text = plan(gold.trend(spark.table(f"{silver_tables}.occupancy")))
     assert len(re.findall(r"\bWindow \[", text)) == 1 and "Exchange" not in text

@@ -135,8 +135,9 @@ def _patient_days_of_rows(report: DataFrame) -> DataFrame:
 def occupancy(stays: DataFrame, registry: DataFrame, padded_keys: bool = False) -> DataFrame:
     """`slv_ocupacao`: patient days over bed days by hospital and month.
 
-    Neither side gets a broadcast hint: both grow with the number of hospitals. The planner
-    broadcasts a side it knows to be small, else both are hashed on the two keys, which leaves
+    Both sides grow with the number of hospitals, and either may look small to the planner, which
+    does not count the rows that adding or unpivoting months makes of one; broadcast, they would
+    pass whole through the driver. So they are always hashed on the two keys and merged, which leaves
     the adaptive skew join free to split a hot hospital-month. Tables bucketed by hospital
     need no exchange here. `padded_keys` pads the registry key as well; off, keys are compared
     as filed. Bed days are whole numbers where the registry's counts are, else decimals.
@@ -152,7 +153,7 @@ def occupancy(stays: DataFrame, registry: DataFrame, padded_keys: bool = False)
     )
     days = keys.days_in_period("competencia")
     joined = stays.join(
-        capacity,
+        capacity.hint("merge"),
         (F.col("co_cnes") == F.col("cnes")) & (F.col("competencia") == F.col("comp")),
     )
     bed_days = f"cast(leitos_sus * {days} as decimal(18,4))" if fractional else f"cast(leitos_sus as bigint) * {days}"
