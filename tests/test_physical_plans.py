@@ -81,6 +81,13 @@ def test_occupancy_passes_neither_side_through_the_driver(spark):
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
 
 
+@pytest.mark.parametrize("single_name", [False, True])
+def test_feature_matrix_merges_stays_and_beds(inputs, single_name):
+    text = plan(gold.hospital_features(inputs.occupancy, inputs.admissions, inputs.beds, single_name))
+    joins = re.findall(r"(\w+Join) \[co_cnes#\d+, competencia#\d+\]", text)
+    assert len(joins) == 2 - single_name and set(joins) == {"SortMergeJoin"}
+
+
 def test_trend_windows_share_one_sort(spark, silver_tables):
     text = plan(gold.trend(spark.table(f"{silver_tables}.occupancy")))
     assert len(re.findall(r"\bWindow \[", text)) == 1 and "Exchange" not in text
